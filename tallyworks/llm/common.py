@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 #: ASCII white space, as the contracts define it; bytes.split() without arguments splits at the same six bytes.
 SPACE = r"\x20\x09-\x0D"
 SPACES = " \t\n\x0b\f\r"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -30,10 +31,18 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read again: lineage ends there, and lost executors cost no recomputation."""
+    """df, written to the shared folder and read again: lineage ends there, and lost executors cost no recomputation.
+
+    Its shuffle files go as soon as it is written, so that the steps of an operator do not add up on the disks.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,7 +10,9 @@ len(COVER) / PERIOD of all positions need hashing.
    passage in a third of all documents brings a few rows a batch to that task. The task keeps one row in memory.
 2. Extension: a document's windows around marked anchors, and no others, are hashed whole (96 bits) and meet in the
    same way.
-3. Words under windows that met are cut. Steps 2 and 3 read the documents from one shuffle, which Spark reuses.
+3. Words under windows that met are cut.
+
+What a step finds is written before the next one starts, and the step's shuffle files go.
 
 A row is known by a 64-bit hash of its id and text; rows of equal id and text share marks, as they should.
 """
@@ -25,11 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 WINDOW = 35
 PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 #: bytes of text that one round of in-batch matching holds
-ROUND_BYTES = 24 << 20
+ROUND_BYTES = 16 << 20
 
 _M64 = (1 << 64) - 1
 _BASES = (0x9E3779B97F4A7C15 | 3, 0xC2B2AE3D27D4EB4F | 3)
@@ -93,10 +97,12 @@ def _meet_in_batch(k: np.ndarray, u: np.ndarray, x: np.ndarray) -> pa.RecordBatc
     """Rows of keys seen once go on by key; of a repeated key one goes as evidence (its place all ones), and all its places
     go on as met (x < 0), dealt by u. x holds the key's further bits above and the place in its lower 32 bits."""
     order = np.argsort(k)
-    k, u, x = k[order], u[order], x[order]
-    new = np.append(True, (k[1:] != k[:-1]) | (x[1:] >> 32 != x[:-1] >> 32))[: len(k)]
-    alone = new & np.append(new[1:], True)[: len(k)]
-    first, met = new & ~alone, ~alone
+    ko, co = k[order], x[order] >> 32
+    new = np.append(True, (ko[1:] != ko[:-1]) | (co[1:] != co[:-1]))[: len(k)]
+    single = new & np.append(new[1:], True)[: len(k)]
+    alone, first = np.empty(len(k), bool), np.empty(len(k), bool)
+    alone[order], first[order] = single, new & ~single  # back in the documents' order, which packs better
+    met = ~alone
     ks = np.concatenate([k[alone], k[first], u[met]])
     us = np.concatenate([u[alone], u[first], u[met]])
     xs = np.concatenate([x[alone], x[first] | 0xFFFFFFFF, (x[met] & 0xFFFFFFFF) | np.int64(-(1 << 63))])
@@ -222,10 +228,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def meet(rows: DataFrame) -> DataFrame:
         return rows.repartition("k").sortWithinPartitions("k", "x").mapInArrow(_met, "u long, at int")
 
-    dealt = keyed.repartition("u")
     marks = meet(keyed.select("u", "t").mapInArrow(anchors, _KEYED)).groupBy("u").agg(F.collect_list("at").alias("ats"))
-    found = meet(dealt.join(marks, "u").select("u", "t", "ats").mapInArrow(windows, _KEYED)).groupBy("u").agg(F.collect_list("at").alias("ats"))
-    return dealt.join(found, "u", "left").select("id", "t", "ats").mapInArrow(cut, f"`{id_col}` {id_type}, n_words long, n_removed long, kept string, spans array<struct<start: long, end: long>>")
+    marks = materialize(marks, "substring-marks")
+    found = meet(keyed.join(marks, "u").select("u", "t", "ats").mapInArrow(windows, _KEYED)).groupBy("u").agg(F.collect_list("at").alias("ats"))
+    found = materialize(found, "substring-found")
+    return keyed.join(found, "u", "left").select("id", "t", "ats").mapInArrow(cut, f"`{id_col}` {id_type}, n_words long, n_removed long, kept string, spans array<struct<start: long, end: long>>")
 
 
 def _arrow(df: DataFrame, name: str) -> pa.DataType:
