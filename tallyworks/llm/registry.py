@@ -1,12 +1,16 @@
 """The subpackage's queries and, where SQL can express them, their oracles."""
 
-from . import linedup, mixing, simhash, substrings
+from . import html_text, linedup, mixing, packing, pii, quality, simhash, substrings
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
     "op3_simhash": simhash.op3_simhash,
     "op4_substrings": substrings.op4_substrings,
+    "op5_html_text": html_text.op5_html_text,
     "op6_mixing": mixing.op6_mixing,
     "op8_line_dedup": linedup.op8_line_dedup,
+    "op9_quality": quality.op9_quality,
+    "op10_pii": pii.op10_pii,
 }
 SQL = {
     "op4_substrings": substrings.OP4_SQL,
