@@ -109,7 +109,7 @@ class LineRuns:
         drop_tables(lines)
         self.add(keys.where("owner is null").select("h1", "h2", F.col("low").alias("owner")))
         drop_tables(keys)
-        out = docs.join(goes, (F.col(id_col) == F.col("_tw_id")) & (th == F.col("_tw_th")), "left")
+        out = docs.join(goes.hint("merge"), (F.col(id_col) == F.col("_tw_id")) & (th == F.col("_tw_th")), "left")
         every = F.split(text, "\n", -1)
         stays = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_tw_goes"))
         kept = F.when(F.col("_tw_goes").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stays, lambda i: F.get(every, i)), "\n"))
