@@ -92,3 +92,28 @@ def survey_responses(raw: DataFrame, enrolled: DataFrame) -> DataFrame:
         issue((C("expected_type") == "wochenfeedback") & C("week").isNull() | (C("expected_type") == "abschlussfeedback") & C("week").isNotNull(), "survey_week_inconsistent", "review"),
     ], fields)
     return out.withColumn("is_answer_valid", ~C("is_quarantined")).drop("_a")
+
+
+def trainings(raw: DataFrame) -> DataFrame:
+    """The catalog. Modules are consistent if their orders are 1 to n and their ids differ and begin with the training's."""
+    fields = raw.columns
+    variant, weeks, price = K.standardize(C("variant"), K.VARIANTS), numbers.whole_number(C("duration_weeks")), numbers.money(C("list_price_eur"))
+    ids = F.transform("modules", lambda m: text.normalize_upper(m["module_id"]))
+    orders = F.transform("modules", lambda m: m["module_order"].cast("int"))
+    df = raw.withColumns({"training_id": text.normalize_upper(C("training_id")), "training_name": F.coalesce(text.clean_text(C("training_name")), F.lit("unknown")), "track": F.coalesce(text.clean_text(C("track")), F.lit("unknown"))})
+    df = df.withColumns({"variant_clean": variant["value"], "is_variant_valid": F.when(variant["status"] != "missing", variant["status"] == "mapped"), "weeks": weeks, "price_eur": price, "active": K.parse_boolean(C("is_active").cast("string"))})
+    prefixed = F.forall(ids, lambda i: F.coalesce(i.startswith(F.concat(C("training_id"), F.lit("-"))), F.lit(False)))
+    ordered = F.sort_array(orders).eqNullSafe(F.sequence(F.lit(1), F.greatest(F.size("modules"), F.lit(1))))
+    sound = (F.size("modules") > 0) & ordered & (F.size(F.array_distinct(ids)) == F.size(ids)) & prefixed
+    df = df.withColumn("has_consistent_modules", F.coalesce(sound, F.lit(False)))
+    return finish(df, "training_id", [
+        issue(variant["status"] == "unmapped", "invalid_variant"), issue(variant["status"] == "missing", "missing_variant", "note"), issue(invalid("duration_weeks", C("weeks")), "invalid_duration_weeks"),
+        issue(invalid("list_price_eur", C("price_eur")), "invalid_list_price_eur"), issue(invalid("is_active", C("active").cast("string")), "invalid_is_active"), issue(text.is_missing(C("is_active").cast("string")), "missing_is_active", "note"),
+        issue(~C("has_consistent_modules"), "inconsistent_training_modules", "note"),
+    ], fields)
+
+
+def modules(catalog: DataFrame) -> DataFrame:
+    """One row per training and module, from trainings()."""
+    rows = catalog.where("training_id is not null").select("training_id", F.explode("modules").alias("m"))
+    return rows.select("training_id", text.normalize_upper(C("m.module_id")).alias("module_id"), C("m.module_order").cast("int").alias("module_order"), text.clean_text(C("m.module_name")).alias("module_name"), C("m.estimated_hours").cast("int").alias("estimated_hours")).where("module_id is not null")
