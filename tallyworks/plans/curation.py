@@ -51,10 +51,12 @@ def enrollments(raw: DataFrame, participants: DataFrame, trainings: DataFrame, a
     ], fields)
 
 
-def participants(raw: DataFrame, as_of: str) -> DataFrame:
+def participants(raw: DataFrame, as_of: str, everyone: DataFrame | None = None) -> DataFrame:
+    """everyone: the whole raw history, in which shared addresses are looked for (else raw itself)."""
     fields = raw.columns
     df = raw.withColumns({"participant_id": text.trim_text(C("participant_id")), "first_name_clean": text.title_case(C("first_name")), "last_name_clean": text.title_case(C("last_name")), "email_clean": text.normalize_email(C("email")), "city_clean": text.title_case(C("city")), "state": K.federal_state(C("federal_state")), "funding": K.standardize(C("funding_type"), K.FUNDING)["value"], "birth": dates.parse_iso_date(C("birth_date")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
-    shared = df.where("email_clean is not null").groupBy("email_clean").agg((F.count_distinct("participant_id") > 1).alias("shared_email"), F.min(F.struct(F.length("participant_id").alias("n"), C("participant_id").alias("id")))["id"].alias("canonical_id"))
+    known = df if everyone is None else everyone.select(text.trim_text(C("participant_id")).alias("participant_id"), text.normalize_email(C("email")).alias("email_clean"))
+    shared = known.where("email_clean is not null").groupBy("email_clean").agg((F.count_distinct("participant_id") > 1).alias("shared_email"), F.min(F.struct(F.length("participant_id").alias("n"), C("participant_id").alias("id")))["id"].alias("canonical_id"))
     df = df.join(shared, "email_clean", "left").withColumn("canonical_participant_id", F.coalesce("canonical_id", "participant_id")).drop("canonical_id")
     return finish(df, "participant_id", [
         issue(C("email_clean") != C("email"), "email_normalization_applied", "note"), issue(F.coalesce("shared_email", F.lit(False)), "normalized_email_collision", "review"),

@@ -131,8 +131,16 @@ def test_lake_merge_and_mirror(spark, tmp_path):
     lake.replace_snapshot("raw", "2026-01-02", day((2, "b")))
     lake.replace_snapshot("raw", "2026-01-02", day((2, "c"), (3, "d")))
     assert sorted((r.id, r.v) for r in lake.read("raw").collect()) == [(1, "a"), (2, "c"), (3, "d")]
+    assert lake.days("raw") == ["2026-01-01", "2026-01-02"] and lake.read_day("raw", "2026-01-02").count() == 2
     lake.replace_snapshot("raw", "2026-01-02", None)
-    assert lake.read("raw").count() == 1
+    assert lake.read("raw").count() == 1 and lake.names() == ["raw"]
+    with pytest.raises(KeyError):
+        lake.read("other")
+    real, lake._versions = lake._versions, lambda: real()[:-1]  # as a writer sees it that began before the last commit
+    with pytest.raises(RuntimeError, match="another writer"):
+        lake.replace_snapshot("raw", "2026-01-03", day((9, "z")))
+    lake._versions = real
+    assert lake.days("raw") == ["2026-01-01"]
     lake.upsert("t", day((1, "x"), (2, "y")), ["id"])
     lake.upsert("t", day((2, "z")), ["id"])
     assert sorted((r.id, r.v) for r in lake.read("t").collect()) == [(1, "x"), (2, "z")]
