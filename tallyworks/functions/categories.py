@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ascii_fold, clean_text, is_missing, slugify
+from .text import ascii_fold, clean_text, slugify
 
 # fixed values: the domains of the source systems
 FUNDING = ("bildungsgutschein", "selbstzahler", "firmenkunde")
@@ -20,12 +20,12 @@ LIGHTS = {"gruen": "green", "g": "green", "green": "green", "gelb": "yellow", "y
 TRUE, FALSE = ("true", "1", "yes", "y", "ja", "j", "wahr"), ("false", "0", "no", "n", "nein", "falsch")
 
 
-def standardize(x: Column, allowed: tuple[str, ...]) -> Column:
-    """struct(value, status): the slug if allowed, else unknown; status mapped, missing or unmapped."""
+def standardize(x: Column, allowed: tuple[str, ...] | None) -> Column:
+    """struct(value, status): the slug, or unknown if there is none; status mapped, missing or, outside allowed, unmapped."""
     slug = slugify(x)
-    ok = F.coalesce(slug.isin(*allowed), F.lit(False))
-    status = F.when(is_missing(x), "missing").when(ok, "mapped").otherwise("unmapped")
-    return F.struct(F.when(ok, slug).otherwise("unknown").alias("value"), status.alias("status"))
+    ok = F.lit(True) if allowed is None else slug.isin(*allowed)
+    status = F.when(slug.isNull(), "missing").when(ok, "mapped").otherwise("unmapped")
+    return F.struct(F.coalesce(slug, F.lit("unknown")).alias("value"), status.alias("status"))
 
 
 def lookup(key: Column, table: dict[str, str]) -> Column:

@@ -35,33 +35,55 @@ def invalid(raw: str, clean: Column) -> Column:
     return ~text.is_missing(C(raw)) & clean.isNull()
 
 
+def category(name: str, status: Column) -> list[Column]:
+    return [issue(status == "unmapped", f"invalid_{name}"), issue(status == "missing", f"missing_{name}", "note")]
+
+
+def parsed(name: str, clean: Column) -> list[Column]:
+    """Issues of a date or an instant: not readable is an error, missing is noted."""
+    return [issue(invalid(name, clean), f"invalid_{name}"), issue(text.is_missing(C(name)), f"missing_{name}", "note")]
+
+
 def enrollments(raw: DataFrame, participants: DataFrame, trainings: DataFrame, as_of: str) -> DataFrame:
-    fields = raw.columns
+    """Only values that cannot be read are errors; what looks odd is noted and the row stays valid."""
+    fields, as_sent = raw.columns, C("training_id")
     status = K.standardize(C("status"), K.STATUSES)
-    df = raw.withColumns({"enrollment_id": text.trim_text(C("enrollment_id")), "participant_id": text.trim_text(C("participant_id")), "training_id": text.normalize_upper(C("training_id"))})
-    df = df.withColumns({"cohort_start": dates.parse_iso_date(C("cohort_start_date")), "planned_end": dates.parse_iso_date(C("planned_end_date")), "status_clean": status["value"], "changed_at_utc": dates.parse_local_timestamp(C("status_changed_at")), "created_at_utc": dates.parse_local_timestamp(C("created_at")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
+    df = raw.withColumns({"enrollment_id": text.trim_text(C("enrollment_id")), "participant_id": text.trim_text(C("participant_id")), "training_id": text.normalize_upper(as_sent), "training_id_changed": text.normalize_upper(as_sent) != as_sent})
+    df = df.withColumns({"cohort_start": dates.parse_flexible_date(C("cohort_start_date")), "planned_end": dates.parse_flexible_date(C("planned_end_date")), "status_clean": status["value"], "changed_at_utc": dates.parse_local_timestamp(C("status_changed_at")), "created_at_utc": dates.parse_local_timestamp(C("created_at")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
     df = flag_present(df, participants, {"participant_id": "participant_id"}, "has_participant")
     df = flag_present(df, trainings, {"training_id": "training_id"}, "has_training")
     limit = dates.local_to_utc(F.lit(as_of).cast("date").cast("timestamp_ntz") + F.expr("interval 1 day")).cast("timestamp")
     return finish(df, "enrollment_id", [
-        issue(invalid("cohort_start_date", C("cohort_start")), "invalid_cohort_start_date"), issue(invalid("planned_end_date", C("planned_end")), "invalid_planned_end_date"),
-        issue(invalid("modified_at", C("modified_at_utc")), "invalid_modified_at"), issue(~C("has_participant"), "missing_participant_reference", "review"), issue(~C("has_training"), "missing_training_reference", "review"),
-        issue(C("planned_end") < C("cohort_start"), "planned_end_before_start"), issue(C("changed_at_utc") < C("created_at_utc"), "status_changed_before_created", "review"),
-        issue(C("changed_at_utc") >= limit, "status_changed_after_reference_date", "review"), issue((C("status_clean") == "aktiv") & (C("planned_end") < F.lit(as_of).cast("date")), "active_past_planned_end", "review"),
+        issue(C("training_id_changed"), "training_id_normalization_applied", "note"), *parsed("cohort_start_date", C("cohort_start")), *parsed("planned_end_date", C("planned_end")),
+        issue(C("planned_end") < C("cohort_start"), "planned_end_before_start", "note"), *category("status", status["status"]),
+        issue(~C("has_participant"), "missing_participant_reference", "note"), issue(~C("has_training"), "missing_training_reference", "note"),
+        *parsed("status_changed_at", C("changed_at_utc")), *parsed("created_at", C("created_at_utc")), *parsed("modified_at", C("modified_at_utc")),
+        issue(C("changed_at_utc") < C("created_at_utc"), "status_changed_before_created", "note"), issue(C("changed_at_utc") >= limit, "status_changed_after_reference_date", "note"),
+        issue((C("status_clean") == "aktiv") & (C("planned_end") < F.lit(as_of).cast("date")), "active_past_planned_end", "note"),
     ], fields)
 
 
 def participants(raw: DataFrame, as_of: str, everyone: DataFrame | None = None) -> DataFrame:
     """everyone: the whole raw history, in which shared addresses are looked for (else raw itself)."""
     fields = raw.columns
-    df = raw.withColumns({"participant_id": text.trim_text(C("participant_id")), "first_name_clean": text.title_case(C("first_name")), "last_name_clean": text.title_case(C("last_name")), "email_clean": text.normalize_email(C("email")), "city_clean": text.title_case(C("city")), "state": K.federal_state(C("federal_state")), "funding": K.standardize(C("funding_type"), K.FUNDING)["value"], "birth": dates.parse_iso_date(C("birth_date")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
+    funding, state = K.standardize(C("funding_type"), K.FUNDING), K.federal_state(C("federal_state"))
+    df = raw.withColumns({"participant_id": text.trim_text(C("participant_id")), "first_name_clean": text.title_case(C("first_name")), "last_name_clean": text.title_case(C("last_name")), "email_clean": text.normalize_email(C("email")), "city_clean": text.title_case(C("city")), "state": F.coalesce(state, text.clean_text(C("federal_state")), F.lit("unknown")), "funding": funding["value"], "birth": dates.parse_flexible_date(C("birth_date")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
     known = df if everyone is None else everyone.select(text.trim_text(C("participant_id")).alias("participant_id"), text.normalize_email(C("email")).alias("email_clean"))
     shared = known.where("email_clean is not null").groupBy("email_clean").agg((F.count_distinct("participant_id") > 1).alias("shared_email"), F.min(F.struct(F.length("participant_id").alias("n"), C("participant_id").alias("id")))["id"].alias("canonical_id"))
     df = df.join(shared, "email_clean", "left").withColumn("canonical_participant_id", F.coalesce("canonical_id", "participant_id")).drop("canonical_id")
+    more = []
+    if "acquisition_channel" in fields:
+        channel = K.standardize(C("acquisition_channel"), None)
+        df, more = df.withColumn("channel", channel["value"]), category("acquisition_channel", channel["status"])
+    spaced = [text.trim_text(F.regexp_replace(C(c), r"(?U)\s+", " ")).eqNullSafe(C(c)) for c in ("first_name", "last_name", "city", "email", "federal_state", "funding_type", "acquisition_channel") if c in fields]
+    created = parsed("created_at", dates.parse_local_timestamp(C("created_at"))) if "created_at" in fields else []
     return finish(df, "participant_id", [
-        issue(C("email_clean") != C("email"), "email_normalization_applied", "note"), issue(F.coalesce("shared_email", F.lit(False)), "normalized_email_collision", "review"),
-        issue(C("email_clean").isNotNull() & ~text.is_email(C("email_clean")), "invalid_email_format", "review"), issue(invalid("birth_date", C("birth")), "invalid_birth_date"),
-        issue(~F.year("birth").between(1900, F.year(F.lit(as_of).cast("date"))), "implausible_birth_date", "review"), issue(invalid("modified_at", C("modified_at_utc")), "invalid_modified_at"),
+        issue(C("first_name_clean").isNull(), "missing_first_name", "note"), issue(C("last_name_clean").isNull(), "missing_last_name", "note"), issue(C("email_clean").isNull(), "missing_email", "note"),
+        issue(C("email_clean") != C("email"), "email_normalization_applied", "note"), issue(F.coalesce("shared_email", F.lit(False)), "normalized_email_collision", "note"),
+        issue(C("email_clean").isNotNull() & ~text.is_email(C("email_clean")), "invalid_email_format", "note"), issue(invalid("birth_date", C("birth")), "invalid_birth_date"),
+        issue(~C("birth").between(F.lit("1900-01-01").cast("date"), F.lit(as_of).cast("date")), "implausible_birth_date", "note"), issue(C("city_clean").isNull(), "missing_city", "note"),
+        issue(~text.is_missing(C("federal_state")) & state.isNull(), "invalid_federal_state"), issue(text.is_missing(C("federal_state")), "missing_federal_state", "note"),
+        *category("funding_type", funding["status"]), *more, issue(~F.forall(F.array(*spaced), lambda v: v), "text_whitespace_normalized", "note"), *created, *parsed("modified_at", C("modified_at_utc")),
     ], fields)
 
 
@@ -69,31 +91,36 @@ def progress_events(raw: DataFrame, enrolled: DataFrame, modules: DataFrame) ->
     fields = raw.columns
     e = enrolled.groupBy(C("enrollment_id").alias("_e")).agg(F.max_by("training_id", F.coalesce("modified_at_utc", F.lit("1970-01-01").cast("timestamp"))).alias("enrolled_training"), F.max("cohort_start").alias("_start"))
     m = modules.groupBy(C("module_id").alias("_m")).agg(F.min("training_id").alias("module_training"))
-    df = raw.withColumns({"event_id": text.trim_text(C("event_id")), "enrollment_id": text.trim_text(C("enrollment_id")), "module_id": text.normalize_upper(C("module_id")), "event_kind": K.standardize(C("event_type"), K.EVENTS)["value"], "event_at_utc": dates.parse_utc_timestamp(C("event_time"))})
+    kind = K.standardize(C("event_type"), K.EVENTS)
+    df = raw.withColumns({"event_id": text.trim_text(C("event_id")), "enrollment_id": text.trim_text(C("enrollment_id")), "module_id": text.normalize_upper(C("module_id")), "event_kind": kind["value"], "event_at_utc": dates.parse_utc_timestamp(C("event_time"))})
     df = df.join(e, C("enrollment_id") == C("_e"), "left").join(m, C("module_id") == C("_m"), "left")
     local = F.convert_timezone(F.lit("UTC"), F.lit("Europe/Berlin"), C("event_at_utc").cast("timestamp_ntz")).cast("date")
     return finish(df, "event_id", [
-        issue(invalid("event_time", C("event_at_utc")), "invalid_event_time"), issue(C("_e").isNull(), "missing_enrollment_reference", "review"), issue(C("_m").isNull(), "missing_module_reference", "review"),
-        issue(C("module_training") != C("enrolled_training"), "module_not_in_enrollment_training", "review"), issue(local < C("_start"), "event_before_cohort_start", "review"),
+        *category("event_type", kind["status"]), issue(C("_e").isNull(), "missing_enrollment_reference", "note"), issue(C("_m").isNull(), "missing_module_reference", "note"),
+        issue(C("module_training") != C("enrolled_training"), "module_not_in_enrollment_training", "note"), *parsed("event_time", C("event_at_utc")), issue(local < C("_start"), "event_before_cohort_start", "note"),
     ], fields).drop("_e", "_m", "_start")
 
 
 def survey_responses(raw: DataFrame, enrolled: DataFrame) -> DataFrame:
+    """is_answer_valid is null for questions without a scale and for missing answers."""
     fields = raw.columns
-    answer = numbers.parse_answer(C("answer_value"))
-    df = raw.withColumns({"response_id": text.trim_text(C("response_id")), "enrollment_id": text.trim_text(C("enrollment_id")), "question": text.slugify(C("question_key")), "week": numbers.whole_number(C("survey_week")), "submitted_at_utc": dates.parse_utc_timestamp(C("submitted_at")), "_a": answer})
+    kind, question = K.standardize(C("survey_type"), tuple(dict.fromkeys(K.QUESTIONS.values()))), K.standardize(C("question_key"), tuple(K.QUESTIONS))
+    df = raw.withColumns({"response_id": text.trim_text(C("response_id")), "enrollment_id": text.trim_text(C("enrollment_id")), "survey_kind": kind["value"], "question": question["value"], "week": numbers.whole_number(C("survey_week")), "submitted_at_utc": dates.parse_utc_timestamp(C("submitted_at")), "_a": numbers.parse_answer(C("answer_value"))})
     low = F.coalesce(*[F.when(C("question") == q, lo) for q, (lo, _) in K.RANGES.items()])
     high = F.coalesce(*[F.when(C("question") == q, hi) for q, (_, hi) in K.RANGES.items()])
-    rated = low.isNotNull()
-    df = df.withColumns({"score": F.when(rated, C("_a.score")), "outside": rated & ~C("_a.score").between(low, high), "expected_type": K.lookup(C("question"), K.QUESTIONS), "is_rated": rated, "scale_off": (C("_a.kind") == "ratio") & (C("_a.scale") != high)})
+    rated, numeric = low.isNotNull(), C("_a.kind").isin("number", "ratio")
+    df = df.withColumns({"expected_type": K.lookup(C("question"), K.QUESTIONS), "is_rated": rated, "score": F.when(rated, C("_a.score")), "scale_off": F.coalesce(rated & (C("_a.kind") == "ratio") & (C("_a.scale") != high), F.lit(False))})
+    fits = F.coalesce((C("_a.score") == F.floor("_a.score")) & C("_a.score").between(low, high), F.lit(False)) & ~C("scale_off")
+    week_fits = F.when(C("survey_kind") == "wochenfeedback", F.coalesce(C("week") >= 1, F.lit(False))).otherwise(C("week").isNull())
+    df = df.withColumns({"is_answer_valid": F.when(rated & numeric, fits).when(rated & (C("_a.kind") == "text"), False), "is_survey_week_valid": week_fits})
     df = flag_present(df, enrolled, {"enrollment_id": "enrollment_id"}, "has_enrollment")
-    out = finish(df, "response_id", [
-        issue(~C("has_enrollment"), "missing_enrollment_reference", "review"), issue(C("scale_off"), "survey_answer_scale_mismatch"), issue(F.coalesce("outside", F.lit(False)), "survey_answer_out_of_range"),
-        issue(C("is_rated") & (C("_a.kind") == "ratio"), "survey_answer_format_normalized", "note"), issue(C("is_rated") & (C("_a.kind") == "missing"), "missing_survey_answer"), issue(C("is_rated") & (C("_a.kind") == "text"), "malformed_survey_answer"),
-        issue(text.slugify(C("survey_type")) != C("expected_type"), "question_not_valid_for_survey_type"), issue(invalid("survey_week", C("week")), "invalid_survey_week"),
-        issue((C("expected_type") == "wochenfeedback") & C("week").isNull() | (C("expected_type") == "abschlussfeedback") & C("week").isNotNull(), "survey_week_inconsistent", "review"),
-    ], fields)
-    return out.withColumn("is_answer_valid", ~C("is_quarantined")).drop("_a")
+    return finish(df, "response_id", [
+        issue(invalid("survey_week", C("week")), "invalid_survey_week"), *category("survey_type", kind["status"]), *category("question_key", question["status"]), issue(~C("has_enrollment"), "missing_enrollment_reference", "note"),
+        issue(C("survey_kind") != C("expected_type"), "question_not_valid_for_survey_type"), issue(~C("is_survey_week_valid"), "survey_week_inconsistent", "note"),
+        issue(C("is_rated") & (C("_a.kind") == "missing"), "missing_survey_answer", "note"), issue(C("is_rated") & (C("_a.kind") == "text"), "malformed_survey_answer"), issue(C("scale_off"), "survey_answer_scale_mismatch"),
+        issue(C("is_rated") & numeric & ~C("scale_off") & ~C("is_answer_valid"), "survey_answer_out_of_range"), issue(C("is_answer_valid") & ((C("_a.kind") == "ratio") | C("answer_value").contains(",")), "survey_answer_format_normalized", "note"),
+        *parsed("submitted_at", C("submitted_at_utc")),
+    ], fields).drop("_a")
 
 
 def trainings(raw: DataFrame) -> DataFrame:

@@ -33,27 +33,27 @@ def curated(spark):
 def test_curation_and_models(spark):
     c = models.Context(curated(spark), "2026-08-31")
     flags = {r.enrollment_id: (r.quality_flags, r.validation_status) for r in c["enrollments"].collect()}
-    assert flags["1"] == ([], "valid") and flags["2"] == (["missing_participant_reference"], "review")
-    assert flags["3"] == (["active_past_planned_end"], "review") and "planned_end_before_start" in flags["4"][0] and flags[None][0] == ["missing_source_id"]
-    assert {r.participant_id: r.quality_flags for r in c["participants"].collect()} == {"1": ["email_normalization_applied", "normalized_email_collision"], "2": ["normalized_email_collision", "invalid_birth_date"]}
+    assert flags["1"] == (["training_id_normalization_applied"], "valid") and flags["2"] == (["missing_participant_reference"], "valid")
+    assert flags["3"] == (["active_past_planned_end"], "valid") and flags["4"] == (["planned_end_before_start", "active_past_planned_end"], "valid") and flags[None][0] == ["missing_source_id"]
+    assert {r.participant_id: r.quality_flags for r in c["participants"].collect()} == {"1": ["email_normalization_applied", "normalized_email_collision", "text_whitespace_normalized"], "2": ["normalized_email_collision", "invalid_birth_date", "missing_city", "missing_federal_state", "missing_funding_type"]}
     assert {r.canonical_participant_id for r in c["participants"].collect()} == {"1"}
     ev = {r.event_id: r.quality_flags for r in c["events"].collect()}
     assert ev["x1"] == ["module_not_in_enrollment_training"] and ev["x2"] == ["duplicate_source_id", "exact_duplicate_source_payload"] and ev["x3"] == ["missing_enrollment_reference", "missing_module_reference"]
     an = {r.response_id: (r.score, r.is_answer_valid) for r in c["responses"].collect()}
-    assert an == {"1": (Decimal("9.00"), True), "2": (Decimal("6.00"), True), "3": (None, False), "4": (Decimal("7.00"), False), "5": (None, True)}
+    assert an == {"1": (Decimal("9.00"), True), "2": (Decimal("6.00"), True), "3": (None, False), "4": (Decimal("7.00"), False), "5": (None, None)}
     p = {r.enrollment_id: r for r in c["rpt_progress_vs_time"].collect()}
     assert p["1"].completed_module_share == Decimal("0.800000") and p["1"].completed_module_count == 4 and p["3"].time_progress_quality_flag == "past_planned_end" and p["3"].is_behind_schedule
     total = c["rpt_progress_vs_time_summary"].where("is_total = 1").first()
-    assert total.training_id == "ALL" and total.active_enrollment_count == 2 and total.behind_schedule_count == 1
+    assert total.training_id == "ALL" and total.active_enrollment_count == 3 and total.behind_schedule_count == 1
     q1 = {r.training_id: r for r in c["rpt_active_enrollments_by_training"].collect()}
-    assert q1["T01"].active_enrollment_count == 1 and q1["T02"].data_quality_flags == ["current_status_used_no_status_history", "active_past_planned_end"]
+    assert q1["T01"].active_enrollment_count == 2 and q1["T02"].data_quality_flags == ["current_status_used_no_status_history", "active_past_planned_end"]
     q2 = c["rpt_completion_abandonment_by_training_funding"].collect()
-    assert sorted((r.training_id, r.funding_type, r.completed_count, r.missing_participant_count) for r in q2) == [("T01", "unknown", 1, 1), ("T02", "selbstzahler", 0, 0)]
+    assert sorted((r.training_id, r.funding_type, r.completed_count, r.missing_participant_count) for r in q2) == [("T01", "selbstzahler", 0, 0), ("T01", "unknown", 1, 1), ("T02", "selbstzahler", 0, 0)]
     assert [(r.nps, r.feedback_quarter_label) for r in c["rpt_nps_by_training_quarter"].collect()] == [(0.0, "2026-Q1")]
     u = {r.coach: r for r in c["rpt_coach_utilization"].collect()}
     assert (u["Coach A"].active_or_paused_enrollment_count, u["Coach A"].red_enrollment_count, u["Coach A"].ambiguous_assignment_count, u["Coach A"].workbook_row_count) == (1, 1, 1, 3)
     r = c["rpt_coach_unassigned_enrollments"].first()
-    assert (r.active_or_paused_enrollment_count, r.assigned_active_or_paused_enrollment_count, r.unassigned_active_or_paused_enrollment_count) == (2, 1, 1) and not r.snapshot_mismatch_flag
+    assert (r.active_or_paused_enrollment_count, r.assigned_active_or_paused_enrollment_count, r.unassigned_active_or_paused_enrollment_count) == (3, 1, 2) and not r.snapshot_mismatch_flag
     assert all(x.has_conflict for x in c["fct_coach_assignments"].where("is_confident").collect())
     for name in models.MODELS:
         assert c[name].count() >= 0

@@ -37,7 +37,7 @@ def test_numbers_and_categories(spark):
     assert values(spark, numbers.whole_number, ["5", "5.0", "5.5", "1099511627776"]) == [5, 5, None, None]
     assert [tuple(v) for v in values(spark, numbers.parse_answer, ["9", "6/10", "eleven", None])] == [(Decimal("9.00"), None, "number"), (Decimal("6.00"), 10, "ratio"), (None, None, "text"), (None, None, "missing")]
     assert values(spark, lambda x: numbers.nps_group(x.cast("int")), ["10", "8", "6", None]) == ["promoter", "passive", "detractor", None]
-    assert [tuple(v) for v in values(spark, lambda x: K.standardize(x, K.STATUSES), [" Aktiv ", "", "weg"])] == [("aktiv", "mapped"), ("unknown", "missing"), ("unknown", "unmapped")]
+    assert [tuple(v) for v in values(spark, lambda x: K.standardize(x, K.STATUSES), [" Aktiv ", "", "weg"])] == [("aktiv", "mapped"), ("unknown", "missing"), ("weg", "unmapped")]
     assert values(spark, K.traffic_light, ["Grün", " R ", "gelb!", "blau"]) == ["green", "red", "yellow", None]
     assert values(spark, K.federal_state, ["thüringen", "Baden Wuerttemberg", "Wien"]) == ["Thüringen", "Baden-Württemberg", None]
     assert values(spark, K.parse_boolean, ["Ja", "falsch", "", "vielleicht"]) == [True, False, None, None]
