@@ -144,6 +144,7 @@ def test_lake_merge_and_mirror(spark, tmp_path):
     lake.upsert("t", day((1, "x"), (2, "y")), ["id"])
     lake.upsert("t", day((2, "z")), ["id"])
     assert sorted((r.id, r.v) for r in lake.read("t").collect()) == [(1, "x"), (2, "z")]
+    assert lake.vacuum() > 0 and lake.vacuum() == 0 and lake.read("raw").count() == 1
     old, new = day((1, "v2"), (2, "v1")), day((1, "v1"), (2, "v3"))
     assert {r.id: r.v for r in rows.merge_newest(old, new, ["id"], [F.col("v").desc()]).collect()} == {1: "v2", 2: "v3"}
     kids = spark.createDataFrame([("T1", "a"), ("T2", "b")], "training_id string, m string")
