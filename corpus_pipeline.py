@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import linedup, mixing, packing, quality, simhash
+from tallyworks.llm import linedup, mixing, packing, quality, shingles, simhash
 from tallyworks.llm.common import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -33,8 +33,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id (all rows without an id stay)."""
-    groups = simhash.near_duplicates(docs)
+    """One document of each group of near-duplicates stays, the one with the smallest id (all rows without an id stay).
+
+    Near are texts within op3's 2 bits and texts whose five-word shingles have a similarity of 0.8 or more.
+    """
+    groups = simhash.near_duplicates(docs, also=shingles.near_links(docs))
     goes = groups.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(goes, "doc_id", "left_anti").select(*COLUMNS)
 

@@ -209,16 +209,19 @@ def links(fps: DataFrame, limit: int = 2, most: int = GROUP) -> DataFrame:
     return found.where("b is not null").unionByName(stars.select("a", "b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, limit: int = 2, most: int = GROUP) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, limit: int = 2, most: int = GROUP, also: DataFrame | None = None) -> DataFrame:
     """One row per document: id_col, fp, component_id (the smallest id reachable over links of at most limit bits).
 
+    also: more edges (a, b) between fingerprints, which count as links.
+
     Texts: null counts as empty; texts without words have fingerprint 0 and so link with one another. A null id never
     becomes a component's id unless the whole component has none. Repeated rows stay. An empty table gives no rows; other
     columns are not read.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
     least = fps.groupBy("fp").agg(F.min(id_col).alias("rep"))
-    comps = components(links(least.select("fp"), limit, most))
+    edges = links(least.select("fp"), limit, most)
+    comps = components(edges if also is None else edges.unionByName(also))
     placed = materialize(least.join(comps, least.fp == comps.node, "left").select("fp", "rep", F.coalesce("component", "fp").alias("c")), "simhash-classes")
     ids = placed.groupBy("c").agg(F.min("rep").alias("component_id"))
     labels = placed.select("fp", "c").join(ids, "c").select("fp", "component_id")
