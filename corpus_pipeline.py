@@ -35,11 +35,14 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id (all rows without an id stay).
 
-    Near are texts within op3's 2 bits and texts whose five-word shingles have a similarity of 0.8 or more.
+    A document is an id with a text: of an id with several texts each text has its own group, and of those in one group the
+    text with the smallest hash stays. Repeated rows share one fate. Near are texts within op3's 2 bits and texts whose five-word shingles have a similarity of 0.8 or more.
     """
-    groups = simhash.near_duplicates(docs, also=shingles.near_links(docs))
-    goes = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(goes, "doc_id", "left_anti").select(*COLUMNS)
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")))
+    groups = simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key", also=shingles.near_links(docs))
+    goes = groups.where("key <> component_id").select("key.doc_id", "key.th").distinct()
+    out = docs.select(*COLUMNS, key["th"].alias("th"))
+    return out.join(goes, ["doc_id", "th"], "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,3 +69,11 @@ def test_stage_drops_near_copies_beyond_two_bits(spark):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [1, 4]
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_stage_tells_texts_of_one_id_apart(spark):
+    a, b = " ".join(f"word{i}" for i in range(40)), " ".join(f"other{i}" for i in range(40))
+    rows = [(1, a), (7, a), (7, b), (8, b), (9, a + " end"), (9, a), (None, a), (None, b), (4, ""), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted([(1, a), (7, b), (0, a), (0, b), (4, ""), (4, "")])
