@@ -34,7 +34,7 @@ PATTERNS = (
     ("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,}+", None),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+[\x20]?(?:\[at\]|\(at\)|\{at\})[\x20]?[A-Za-z0-9-]{1,63}+(?:(?:\.|[\x20]?(?:\[dot\]|\(dot\))[\x20]?)[A-Za-z0-9-]{1,63}+)++", "at"),
-    ("phone", r"(?<![0-9+().-])(?<![0-9+().-][\x20])(?:\([0-9]{3}\)[\x20]?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])", "-"),
+    ("phone", r"(?<![0-9+().-])(?<![0-9+().-][\x20])(?:\([0-9]{3}\)[\x20]?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])", None),
     ("name", r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?[\x20]\p{Lu}\p{Ll}{1,30}+(?:[\x20]\p{Lu}\p{Ll}{1,30}+)?", None),
     ("secret", r"(?i)(?<![A-Za-z])(?:token|secret|passwd|password|api[_-]?key)[\x20]?[=:][\x20]?[\x22']?[A-Za-z0-9_/+-]{16,128}+", None),
 )

@@ -70,3 +70,9 @@ def test_empty_table_and_native_code(spark):
     for name in ("pii", "linedup", "components"):
         source = Path(pii.__file__).with_name(f"{name}.py").read_text()
         assert not re.search(r"udf|mapIn|applyIn|pandas|pyarrow|\.rdd\b", source)
+
+
+def test_dotted_phone_numbers_without_a_hyphen(spark):
+    texts = ["please call 555.123.4567 now", "please call (555) 123.4567 now", "please call 555-123-4567 now", "no number"]
+    found = {r.doc_id: len(r.c) for r in pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert found == {0: 1, 1: 1, 2: 1, 3: 0}
