@@ -30,8 +30,9 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tallyworks/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read again: lineage ends there, and lost executors cost no recomputation.
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """df, written to the shared folder (partitioned by column `by`) and read again: lineage ends there, and lost executors cost
+    no recomputation.
 
     Its shuffle files go as soon as it is written, so that the steps of an operator do not add up on the disks.
     """
@@ -40,7 +41,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -52,9 +53,23 @@ def drop_tables(*frames: DataFrame) -> None:
         spark = df.sparkSession
         for name in df.inputFiles()[:1]:
             path = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
+            while "=" in path.getName():
+                path = path.getParent()
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def n_words(text: Column) -> Column:
     """The number of runs of other characters than ASCII white space (null: 0), as a long."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

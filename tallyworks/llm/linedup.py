@@ -14,11 +14,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, drop_tables, materialize, new_path
+from .common import SPACES, ascii_lower, drop_tables, materialize, new_path, unused
 
 MIN_LENGTH = 10
 FANOUT = 4
 BATCHES = 5
+#: keys with more than one in HOT of a batch's lines are looked up by broadcast
+HOT = 1024
 
 
 def line_key(line: Column) -> Column:
@@ -88,54 +90,93 @@ class LineRuns:
                 where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
             level += 1
 
+    def find(self, lines: DataFrame) -> DataFrame:
+        """(id, th, goes): of a batch's lines (id, th, pos, h1, h2), the positions that go in each text. The batch's new keys are added.
+
+        A key that holds more than a HOT-th of the batch's lines is looked up by broadcast, there being less than HOT of them; so
+        no task gets all lines of one key.
+        """
+        keys = lines.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
+        keys = materialize(self.owners(keys), "line-owners")
+        many = (keys.agg(F.sum("n")).first()[0] or 0) // HOT
+        shared = keys.where("owner is not null or low < high").select("h1", "h2", F.coalesce("owner", "low").alias("owner"), "n")
+        hot = F.broadcast(shared.where(F.col("n") > many).drop("n"))
+        rest = lines.join(hot, ["h1", "h2"], "left_anti").join(shared.where(F.col("n") <= many).drop("n"), ["h1", "h2"])
+        goes = rest.unionByName(lines.join(hot, ["h1", "h2"])).where("id <> owner")
+        goes = materialize(goes.groupBy("id", "th").agg(F.collect_set("pos").alias("goes")), "line-goes")
+        self.add(keys.where("owner is null").select("h1", "h2", F.col("low").alias("owner")))
+        drop_tables(keys)
+        return goes
+
+    def close(self, delete: bool = False) -> None:
+        """Take the runs out of the catalog; their files stay for open() unless `delete` is set."""
+        for level in self.levels:
+            for name, path in level:
+                self.spark.sql(f"DROP TABLE {name}")
+                if delete:
+                    where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                    where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.levels = []
+
     def dedup(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = MIN_LENGTH) -> DataFrame:
-        """docs with text_col reduced to the lines that stay, and n_lines (before), n_dropped.
+        """docs as one batch, with text_col reduced to the lines that stay, and n_lines (before), n_dropped.
 
         A line whose key has at least min_length code points goes if an earlier batch holds the key, or another document of
         this batch with a smaller id; within the document that owns a key all its lines stay. A null text is one empty line
         and comes back as null; rows with a null id own nothing and keep all lines. Rows of one id count as one document.
         Other columns pass through, but for n_lines and n_dropped, which are replaced.
         """
-        text = F.coalesce(F.col(text_col), F.lit(""))
-        th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-        lines = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), th.alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-        lines = lines.select("id", "th", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_length)
-        lines = materialize(lines.select("id", "th", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2")), "line-keys")
-        keys = lines.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-        keys = materialize(self.owners(keys), "line-owners")
-        shared = keys.where("owner is not null or low < high").select("h1", "h2", F.coalesce("owner", "low").alias("owner"))
-        goes = lines.join(shared, ["h1", "h2"]).where("id <> owner")
-        goes = materialize(goes.groupBy("id", "th").agg(F.collect_set("pos").alias("_tw_goes")).withColumnsRenamed({"id": "_tw_id", "th": "_tw_th"}), "line-goes")
+        lines = materialize(_lines(docs, id_col, text_col, min_length), "line-keys")
+        goes = self.find(lines)
         drop_tables(lines)
-        self.add(keys.where("owner is null").select("h1", "h2", F.col("low").alias("owner")))
-        drop_tables(keys)
-        out = docs.join(goes.hint("merge"), (F.col(id_col) == F.col("_tw_id")) & (th == F.col("_tw_th")), "left")
-        every = F.split(text, "\n", -1)
-        stays = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_tw_goes"))
-        kept = F.when(F.col("_tw_goes").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stays, lambda i: F.get(every, i)), "\n"))
-        return out.select(*[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")], F.size(every).cast("long").alias("n_lines"), F.coalesce(F.size("_tw_goes"), F.lit(0)).cast("long").alias("n_dropped"))
+        return _without(docs, goes, id_col, text_col)
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, min_length: int) -> DataFrame:
+    """(id, th, pos, h1, h2): every line whose key is long enough, by the text's hash and the key's."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    lines = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), _text_hash(text_col).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    lines = lines.select("id", "th", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_length)
+    return lines.select("id", "th", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"))
+
+
+def _without(docs: DataFrame, goes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs less the lines at the positions in goes, in one pass: what goes of a document is smaller than its text, so the hash
+    tables are built on that side and no text is sorted. Rows without an id have nothing to look up."""
+    i, t, g = unused(docs, "id", "th", "goes")
+    goes = goes.withColumnsRenamed({"id": i, "th": t, "goes": g})
+    rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    known = docs.where(F.col(id_col).isNotNull()).join(goes.hint("shuffle_hash"), (F.col(id_col) == F.col(i)) & (_text_hash(text_col) == F.col(t)), "left")
+    out = known.select(*[f"`{c}`" for c in rest], g).unionByName(docs.where(F.col(id_col).isNull()).select(*[f"`{c}`" for c in rest], F.lit(None).cast("array<int>").alias(g)))
+    n = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("int")
+    every = F.split(text, "\n", -1)
+    stays = F.array_except(F.sequence(F.lit(0), n - 1), F.col(g))
+    kept = F.when(F.col(g).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stays, lambda k: F.get(every, k)), "\n"))
+    return out.select(*[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in rest], n.cast("long").alias("n_lines"), F.coalesce(F.size(g), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def dedup_lines(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text", min_length: int = MIN_LENGTH, fanout: int = FANOUT) -> DataFrame:
-    """LineRuns.dedup() over a whole table, dealt into batches of rising ids. An empty table gives no rows."""
-    spark = docs.sparkSession
-    runs, marks = LineRuns(spark, fanout=fanout), []
-    if batches > 1:
-        marks = docs.agg(F.percentile_approx(id_col, [i / batches for i in range(1, batches)], 1000)).first()[0] or []
-    out, low = None, None
-    for high in [*sorted(set(marks)), None]:
-        part = docs
-        if low is not None:
-            part = part.where(F.col(id_col) > low)
-        if high is not None:
-            part = part.where(F.col(id_col) <= high)
-        done = runs.dedup(part, id_col, text_col, min_length)
-        out, low = done if out is None else out.unionByName(done), high
-    nobody = docs.where(F.col(id_col).isNull())
-    if low is None and not marks:  # one batch has seen rows without id already
-        return out
-    lines = F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).cast("long")
-    return out.unionByName(nobody.drop("n_lines", "n_dropped").withColumns({"n_lines": lines, "n_dropped": F.lit(0).cast("long")}))
+    """LineRuns.dedup() over a whole table, dealt into batches of rising ids. An empty table gives no rows.
+
+    Documents are read once for the hashes of their lines, which alone go through the batches, and once to drop what goes.
+    """
+    marks = docs.agg(F.percentile_approx(id_col, [i / batches for i in range(1, batches)], 1000)).first()[0] or [] if batches > 1 else []
+    lines = _lines(docs, id_col, text_col, min_length)
+    marks = sorted(set(marks))
+    lines = materialize(lines.withColumn("batch", sum([(F.col("id") > m).cast("int") for m in marks], F.lit(0))), "line-keys", "batch")
+    runs = LineRuns(docs.sparkSession, fanout=fanout)
+    goes = None
+    for i in range(len(marks) + 1):
+        found = runs.find(lines.where(F.col("batch") == i).drop("batch"))
+        goes = found if goes is None else goes.unionByName(found)
+    runs.close(delete=True)
+    drop_tables(lines)
+    return _without(docs, goes, id_col, text_col)
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
