@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 SPACE = r"\x20\x09-\x0D"
 SPACES = " \t\n\x0b\f\r"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -47,6 +49,17 @@ def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """What is planned and run inside sends this many rows at a time to Python."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def drop_tables(*frames: DataFrame) -> None:
     """Delete what materialize() wrote for these frames; nothing may read them afterwards."""
     for df in frames:

@@ -1,12 +1,16 @@
 """Approximate nearest neighbours: a graph by NN-descent, queried by greedy graph search.
 
-Seeds are the neighbours within small blocks of the nearest cluster centres. Each round joins every node with the neighbours
-(and reverse neighbours) of its neighbours: the rows (u, v) of the graph meet v's adjacency, whose entries carry their vectors
-in 8-bit steps, so that similarities are computed where the join puts the rows and only what beats u's worst neighbour is
-shuffled on. Queries walk the same way: a beam of nodes is joined with the graph, hop by hop. What a search ends
-with is scored again in double precision on the original vectors.
+Equal vectors are one node. Each node starts with the nearest of a few random blocks (dealt by a hash of its id), which hold next to
+none of its true neighbours. Then rounds of Spark joins follow: every node v gathers its neighbours and reverse neighbours with their
+vectors, compares them with each other, and tells each of them the others that beat its worst neighbour; so neighbours of
+neighbours meet. A pair meets only while one of its two edges to v is new. Rounds end when fewer than DELTA of all edges are new.
 
-Widths are those of the graph and the beam, which any graph search has; recall is measured in tests/llm/test_vectors.py.
+Queries walk the graph: a beam of nodes, all that are new in it being expanded at once, hop by hop until fewer than DELTA of its nodes are
+new. Expansions are grouped by the node expanded, so that its neighbours' vectors are read once for all queries there. What a
+search ends with is scored again in double precision on the original vectors.
+
+Vectors travel in 8-bit steps. K (neighbours of a node) and the beam, which widens with the logarithm of the table's size, are the
+widths that any graph search has; recall is measured in tests/llm/test_nndescent.py and stated in the README by size and by rounds.
 """
 
 from __future__ import annotations
@@ -15,27 +19,35 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
-from .vectors import centres, matrix, usable
+from .common import batches_of, drop_tables, materialize
+from .vectors import matrix, usable
 
 K = 32
-BEAM = 240
-ROUNDS = 2
-HOPS = 3
 BLOCK = 512
-OVERLAP = 2
+DEALS = 2
+#: rounds and hops end when a smaller share of edges (of beam places) is new
+DELTA = 0.02
+#: neither takes anything near this many; it ends what would go round in circles
+MOST_ROUNDS = 40
+#: queries whose expansions of one node meet in one row, at most
+MEET = 16384
 EVERY = 20
 TOP = 20
 
 _PAIRS = "u long, w long, sim float"
 
 
+def beam_width(n: int) -> int:
+    """64 places for each doubling of the table beyond 2,500 nodes."""
+    return max(64, round(64 * math.log2(max(n, 1) / 2500))) if n else 64
+
+
 def _pack(rows: DataFrame) -> DataFrame:
-    """(id, q binary): vectors scaled to 8 bits, with the scale in four leading bytes."""
+    """(id, q binary): vectors scaled to 8 bits, with the scale in eight leading bytes."""
 
     def run(batches):
         for batch in batches:
@@ -44,136 +56,217 @@ def _pack(rows: DataFrame) -> DataFrame:
                 continue
             scale = np.abs(x).max(axis=1, keepdims=True) / 127
             q = np.rint(x / scale).astype(np.int8)
-            heads = scale.astype("<f4")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.tobytes() + r.tobytes() for h, r in zip(heads, q, strict=True)], pa.binary())], names=["id", "q"])
+            data = np.hstack([scale.astype("<f8").view(np.uint8), q.view(np.uint8)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in data], pa.binary())], names=["id", "q"])
+
+    return rows.select("id", "vec").mapInArrow(run, "id long, q binary")
+
 
-    return rows.mapInArrow(run, "id long, q binary")
+def _unpack(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(whole numbers, scales) of packed vectors of one length; products of the numbers are exact in single precision."""
+    n = len(column)
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + n + 1]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].reshape(n, -1)
+    return raw[:, 8:].view(np.int8).astype(np.float32), raw[:, :8].copy().view("<f8")[:, 0]
 
 
-def _unpack(column, n: int) -> np.ndarray:
-    raw = np.frombuffer(b"".join(column), np.uint8).reshape(n, -1)
-    return raw[:, 4:].view(np.int8).astype(np.float32) * raw[:, :4].copy().view("<f4")
+def _top(u: np.ndarray, w: np.ndarray, sim: np.ndarray, k: int) -> pa.RecordBatch:
+    """The k best different partners of each u: what is left out cannot be among its k best of all."""
+    order = np.lexsort((w, -sim, u))
+    u, w, sim = u[order], w[order], sim[order]
+    new = np.append(True, (u[1:] != u[:-1]) | (w[1:] != w[:-1]))[: len(u)]
+    u, w, sim = u[new], w[new], sim[new]
+    starts = np.nonzero(np.append(True, u[1:] != u[:-1])[: len(u)])[0]
+    place = np.arange(len(u)) - np.repeat(starts, np.diff(np.append(starts, len(u))))
+    keep = place < k
+    return pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(w[keep]), pa.array(sim[keep].astype(np.float32))], names=["u", "w", "sim"])
 
 
-def _seeds(rows: DataFrame, n: int, k: int) -> DataFrame:
-    """Neighbour pairs within blocks: rows meet at their OVERLAP nearest centres, large meetings being split at random."""
-    c = centres(rows, max(1, min(1024, n // BLOCK)))
-    size = n * min(OVERLAP, len(c)) / len(c)
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, pa.StructArray]:
+    """(sizes, flat entries) of a list column."""
+    return np.diff(column.offsets.to_numpy()), column.flatten()
 
-    def near(batches):
+
+def _seeds(packed: DataFrame, n: int, k: int, block: int, deals: int) -> DataFrame:
+    """The best k of each node within `deals` random blocks."""
+    blocks = -(-n // block)
+    deal = F.explode(F.sequence(F.lit(0), F.lit(deals - 1 if blocks > 1 else 0)))
+    met = packed.withColumn("deal", deal).groupBy("deal", F.pmod(F.xxhash64("id", "deal"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "q")).alias("met"))
+
+    def run(batches):
         for batch in batches:
-            x = matrix(batch.column(1))
-            if not len(x):
-                continue
-            s = x @ c.T
-            m = min(OVERLAP, len(c))
-            top = np.argpartition(-s, m - 1, axis=1)[:, :m].ravel()
-            at = np.repeat(np.arange(len(x)), m)
-            yield pa.RecordBatch.from_arrays([pa.array(top, pa.int64()), batch.column(0).take(pa.array(at)), batch.column(2).take(pa.array(at))], names=["block", "id", "q"])
-
-    met = rows.mapInArrow(near, "block long, id long, q binary")
-    counts = met.groupBy("block").agg(F.ceil(F.count("*") / (2 * max(BLOCK, int(size)))).alias("parts"))
-    met = met.join(F.broadcast(counts), "block").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-
-    def run(key, table):
-        ids, x = table["id"].to_numpy(), _unpack(table["q"].to_pylist(), table.num_rows)
-        out = []
-        for at in range(0, len(ids), 512):
-            s = x[at : at + 512] @ x.T
-            s[np.arange(len(s)), at + np.arange(len(s))] = -np.inf
-            m = min(k, len(ids) - 1)
-            if m < 1:
-                break
-            top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-            out.append((np.repeat(ids[at : at + 512], m), ids[top.ravel()], np.take_along_axis(s, top, 1).ravel()))
-        u, w, sim = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))
-        return pa.table([pa.array(u, pa.int64()), pa.array(w, pa.int64()), pa.array(sim.astype(np.float32))], names=["u", "w", "sim"])
-
-    return met.select("block", "part", "id", "q").groupBy("block", "part").applyInArrow(run, _PAIRS)
-
-
-def _best(pairs: DataFrame, k: int) -> DataFrame:
-    """The k best partners of each u, each partner once."""
-    once = pairs.groupBy("u", "w").agg(F.max("sim").alias("sim"))
+            sizes, flat = _lists(batch.column(0))
+            ids, start = flat.field("id").to_numpy(), 0
+            x, scale = _unpack(flat.field("q"))
+            for size in sizes:
+                own = slice(start, start + size)
+                start += size
+                s = (x[own] @ x[own].T * (scale[own, None] * scale[None, own])).astype(np.float32)
+                np.fill_diagonal(s, -np.inf)
+                m = min(k, size - 1)
+                if m > 0:
+                    top = np.argpartition(-s, m - 1, axis=1)[:, :m]
+                    yield _top(np.repeat(ids[own], m), ids[own][top.ravel()], np.take_along_axis(s, top, 1).ravel(), k)
+
+    with batches_of(packed.sparkSession, 64):
+        return materialize(met.select("met").mapInArrow(run, _PAIRS), "nn-seeds")
+
+
+def _merge(pairs: DataFrame, k: int) -> DataFrame:
+    """(u, near array of (w, sim, fresh), worst): the k best of each u from pairs (u, w, sim, fresh), each w once; what was
+    there before is not fresh. worst is what a further one must beat."""
+    once = pairs.repartition("u").groupBy("u", "w").agg(F.max("sim").alias("sim"), F.bool_and("fresh").alias("fresh"))
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "w"))
-    return once.withColumn("r", rank).where(F.col("r") <= k).drop("r")
+    rows = once.withColumn("r", rank).where(F.col("r") <= k).groupBy("u")
+    worst = F.when(F.count("*") < k, F.lit(-math.inf)).otherwise(F.min("sim")).cast("float")
+    return rows.agg(F.collect_list(F.struct("w", "sim", "fresh")).alias("near"), worst.alias("worst"))
 
 
-def _adjacency(graph: DataFrame, packed: DataFrame, k: int) -> DataFrame:
-    """(v, ws, qs): each node's neighbours and its k best reverse ones, with their vectors."""
-    back = _best(graph.select(F.col("w").alias("u"), F.col("u").alias("w"), "sim"), k)
-    both = graph.select("u", "w").unionByName(back.select("u", "w")).distinct()
-    rows = both.join(packed.withColumnsRenamed({"id": "w", "q": "wq"}), "w")
-    return rows.groupBy(F.col("u").alias("v")).agg(F.collect_list(F.struct("w", "wq")).alias("ws"))
+def _edges(nodes: DataFrame) -> DataFrame:
+    return nodes.select("u", F.inline("near"))
 
 
-def _expand(frontier: DataFrame, adjacent: DataFrame, most: int) -> DataFrame:
-    """From rows (u, uq, worst, v): the neighbours w of v that are nearer to u than worst, at most `most` of each row."""
+def _news(nodes: DataFrame) -> float:
+    """The share of fresh edges."""
+    fresh, every = nodes.agg(F.sum(F.size(F.filter("near", lambda x: x["fresh"]))), F.sum(F.size("near"))).first()
+    return fresh / every if every else 0.0
+
+
+def _around(nodes: DataFrame, k: int) -> DataFrame:
+    """(v, m, fresh): each node's neighbours and its k best reverse ones; some come twice."""
+    edges = _edges(nodes)
+    rank = F.row_number().over(Window.partitionBy("w").orderBy(F.desc("sim"), "u"))
+    back = edges.withColumn("r", rank).where(F.col("r") <= k)
+    return edges.select(F.col("u").alias("v"), F.col("w").alias("m"), "fresh").unionByName(back.select(F.col("w").alias("v"), F.col("u").alias("m"), "fresh"))
+
+
+def _meet(nodes: DataFrame, packed: DataFrame, k: int) -> DataFrame:
+    """Pairs (u, w, sim) that met at a node around which both are, one of them newly, and that beat u's worst neighbour."""
+    known = packed.join(nodes.select(F.col("u").alias("id"), "worst"), "id", "left").select(F.col("id").alias("m"), "q", F.coalesce("worst", F.lit(-math.inf).cast("float")).alias("worst"))
+    groups = _around(nodes, k).join(known, "m").groupBy("v").agg(F.collect_list(F.struct("m", "q", "worst", "fresh")).alias("met"), F.bool_or("fresh").alias("any"))
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                n = part.num_rows
-                u, worst = part.column(0).to_numpy(), part.column(2).to_numpy()
-                lists = part.column(3)
-                sizes = np.diff(lists.offsets.to_numpy())
-                flat = lists.flatten()
-                w, owner = flat.field("w").to_numpy(), np.repeat(np.arange(n), sizes)
-                uq, wq = _unpack(part.column(1).to_pylist(), n), _unpack(flat.field("wq").to_pylist(), len(w))
-                sim = np.einsum("ij,ij->i", uq[owner], wq)
-                sim[(w == u[owner]) | (sim <= worst[owner])] = -np.inf
-                order = np.lexsort((-sim, owner))
-                place = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                keep = order[(place < most) & np.isfinite(sim[order])]
-                yield pa.RecordBatch.from_arrays([pa.array(u[owner[keep]]), pa.array(w[keep]), pa.array(sim[keep].astype(np.float32))], names=["u", "w", "sim"])
-
-    return frontier.join(adjacent, "v").select("u", "uq", "worst", "ws").mapInArrow(run, _PAIRS)
-
-
-def build(rows: DataFrame, k: int = K, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """(graph of rows (u, w, sim), packed vectors) by `rounds` rounds of NN-descent."""
+            sizes, flat = _lists(batch.column(0))
+            m, worst, fresh = flat.field("m").to_numpy(), flat.field("worst").to_numpy(), flat.field("fresh").to_numpy(zero_copy_only=False)
+            x, scale = _unpack(flat.field("q"))
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((~fresh, m, owner))
+            once = order[np.append(True, (owner[order][1:] != owner[order][:-1]) | (m[order][1:] != m[order][:-1]))[: len(order)]]
+            sizes = np.bincount(owner[once], minlength=len(sizes))
+            starts = np.cumsum(sizes) - sizes
+            us, ws, sims = [], [], []
+            for at in range(0, len(sizes), 128):
+                size = sizes[at : at + 128]
+                real = np.arange(size.max())[None] < size[:, None]
+                place = once[np.where(real, starts[at : at + 128, None] + np.arange(size.max())[None], 0)]
+                part, by = x[place], scale[place]
+                s = (part @ part.transpose(0, 2, 1) * (by[:, :, None] * by[:, None, :])).astype(np.float32)
+                new = fresh[place] & real
+                says = (s > worst[place][:, :, None]) & (new[:, :, None] | new[:, None, :]) & real[:, :, None] & real[:, None, :]
+                says[:, np.arange(size.max()), np.arange(size.max())] = False
+                r, i, j = np.nonzero(says)
+                us.append(m[place[r, i]])
+                ws.append(m[place[r, j]])
+                sims.append(s[r, i, j])
+            if us:
+                yield _top(np.concatenate(us), np.concatenate(ws), np.concatenate(sims), k)
+
+    return groups.where("any").select("met").mapInArrow(run, _PAIRS)
+
+
+def build(rows: DataFrame, k: int = K, rounds: int = MOST_ROUNDS, block: int = BLOCK, deals: int = DEALS) -> tuple[DataFrame, DataFrame, int]:
+    """(nodes (u, near, worst), packed vectors, number of nodes) of rows (id, vec) by NN-descent in at most `rounds` rounds."""
     packed = materialize(_pack(rows), "nn-packed")
     n = packed.count()
-    graph = materialize(_best(_seeds(rows.join(packed, "id"), n, k), k), "nn-graph") if n else packed.select(F.col("id").alias("u"), F.col("id").alias("w"), F.lit(0.0).cast("float").alias("sim")).limit(0)
-    for _ in range(rounds if n > k + 1 else 0):
-        adjacent = _adjacency(graph, packed, k)
-        worst = graph.groupBy("u").agg(F.when(F.count("*") < k, F.lit(-math.inf)).otherwise(F.min("sim")).cast("float").alias("worst"))
-        nodes = worst.join(packed.withColumnsRenamed({"id": "u", "q": "uq"}), "u")
-        step = graph.select("u", F.col("w").alias("v")).join(nodes, "u")
-        found = _expand(step, adjacent, 8)
-        graph = materialize(_best(graph.unionByName(found), k), "nn-graph")
-    return graph, packed
-
-
-def search(rows: DataFrame, graph: DataFrame, packed: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM, hops: int = HOPS) -> DataFrame:
-    """(u, w, sim): each query node's beam after `hops` expansions, started from its own neighbours in the graph."""
-    adjacent = materialize(_adjacency(graph, packed, k), "nn-adjacency")
-    mine = packed.join(queries.select("id"), "id", "left_semi").withColumnsRenamed({"id": "u", "q": "uq"})
-    beams = materialize(_expand(mine.withColumns({"worst": F.lit(-math.inf).cast("float"), "v": F.col("u")}), adjacent, beam), "nn-beam")
-    seen = None
-    for _ in range(hops):
-        fresh = beams if seen is None else beams.join(seen, ["u", "w"], "left_anti")
-        step = fresh.select("u", F.col("w").alias("v")).join(mine.withColumn("worst", F.lit(-math.inf).cast("float")), "u")
-        seen = beams.select("u", "w")
-        beams = materialize(_best(beams.unionByName(_expand(step, adjacent, beam)), beam), "nn-beam")
+    seeds = _seeds(packed, n, k, block, deals) if n else packed.select(F.col("id").alias("u"), F.col("id").alias("w"), F.lit(0.0).cast("float").alias("sim"))
+    nodes = materialize(_merge(seeds.withColumn("fresh", F.lit(True)), k), "nn-graph")
+    for _ in range(rounds if n > block else 0):
+        with batches_of(rows.sparkSession, 1024):
+            found = materialize(_meet(nodes, packed, k), "nn-met")
+        last = nodes
+        nodes = materialize(_merge(_edges(nodes).withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True))), k), "nn-graph")
+        drop_tables(last, found)
+        if _news(nodes) < DELTA:
+            break
+    return nodes, packed, n
+
+
+def search(nodes: DataFrame, packed: DataFrame, queries: DataFrame, beam: int, k: int = K, meet: int = MEET) -> DataFrame:
+    """(u, near, worst): each query node's beam, started from the node itself. queries: (id), a subset of the nodes."""
+    around = _around(nodes, k).select("v", "m").distinct().join(packed.withColumnsRenamed({"id": "m", "q": "wq"}), "m")
+    around = materialize(around.groupBy("v").agg(F.collect_list(F.struct(F.col("m").alias("w"), "wq")).alias("ws")), "nn-around")
+    mine = materialize(packed.join(queries.select("id"), "id", "left_semi").withColumnsRenamed({"id": "u", "q": "uq"}), "nn-queries")
+    salts = 1 + mine.count() // meet
+    step = mine.select("u", F.col("u").alias("v"), F.lit(-math.inf).cast("float").alias("worst"))
+
+    def run(batches):
+        for batch in batches:
+            many, flat = _lists(batch.column(0))
+            sizes, near = _lists(batch.column(1))
+            u, worst, w = flat.field("u").to_numpy(), flat.field("worst").to_numpy(), near.field("w").to_numpy()
+            (x, xs), (y, ys) = _unpack(flat.field("uq")), _unpack(near.field("wq"))
+            a = b = 0
+            us, ws, sims = [], [], []
+            for n, size in zip(many, sizes, strict=True):
+                s = (x[a : a + n] @ y[b : b + size].T * (xs[a : a + n, None] * ys[None, b : b + size])).astype(np.float32)
+                i, j = np.nonzero((s > worst[a : a + n, None]) & (u[a : a + n, None] != w[None, b : b + size]))
+                us.append(u[a + i])
+                ws.append(w[b + j])
+                sims.append(s[i, j])
+                a, b = a + n, b + size
+            if us:
+                yield _top(np.concatenate(us), np.concatenate(ws), np.concatenate(sims), beam)
+
+    beams = None
+    for _ in range(MOST_ROUNDS):
+        met = step.join(mine, "u").groupBy("v", F.pmod(F.xxhash64("u"), F.lit(salts)).alias("salt")).agg(F.collect_list(F.struct("u", "uq", "worst")).alias("us"))
+        with batches_of(packed.sparkSession, 1024):
+            found = materialize(met.join(around, "v").select("us", "ws").mapInArrow(run, _PAIRS), "nn-found")
+        pairs = found.withColumn("fresh", F.lit(True))
+        last = beams
+        beams = materialize(_merge(pairs if last is None else pairs.unionByName(_edges(last).withColumn("fresh", F.lit(False))), beam), "nn-beam")
+        drop_tables(found, *([last] if last is not None else []))
+        if _news(beams) < DELTA:
+            break
+        step = beams.select("u", "worst", F.inline("near")).where("fresh").select("u", F.col("w").alias("v"), "worst")
+    drop_tables(around, mine)
     return beams
 
 
-def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = EVERY, top: int = TOP) -> DataFrame:
+def _dot(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = EVERY, top: int = TOP, k: int = K, rounds: int = MOST_ROUNDS, block: int = BLOCK) -> DataFrame:
     """query_id, rank, id_col, score: for each row whose id is divisible by `every`, its `top` nearest by inner product.
 
     See vectors.usable() for rows that take no part; with fewer candidates than `top` all are returned. A table without usable
-    vectors gives no rows. Ties go to the smaller id.
+    vectors gives no rows. Ties go to the smaller id. Equal vectors are searched for once; of each such group the top + 1
+    smallest ids can be among anyone's nearest.
     """
     rows = usable(df, id_col, vec_col)
-    graph, packed = build(rows)
-    found = search(rows, graph, packed, rows.where(F.col("id") % every == 0))
-    left, right = rows.select(F.col("id").alias("u"), F.col("vec").alias("a")), rows.select(F.col("id").alias("w"), F.col("vec").alias("b"))
-    dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    exact = found.select("u", "w").join(left, "u").join(right, "w").select("u", "w", dot.alias("score"))
-    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("score"), "w"))
-    return exact.withColumn("rank", rank).where(F.col("rank") <= top).select(F.col("u").alias("query_id"), "rank", F.col("w").alias(id_col), "score")
+    classes = materialize(rows.groupBy("vec").agg(F.min("id").alias("rep")), "nn-classes")
+    members = materialize(rows.join(classes, "vec").select("id", "rep"), "nn-members")
+    asked = members.where(F.col("id") % every == 0)
+    nodes, packed, n = build(classes.select(F.col("rep").alias("id"), "vec"), k, rounds, block)
+    beams = search(nodes, packed, asked.select(F.col("rep").alias("id")).distinct(), beam_width(n), k)
+    # a query's own group is a candidate too: its other members
+    pairs = _edges(beams).select("u", "w").unionByName(asked.select(F.col("rep").alias("u"), F.col("rep").alias("w")).distinct())
+    left, right = classes.select(F.col("rep").alias("u"), F.col("vec").alias("a")), classes.select(F.col("rep").alias("w"), F.col("vec").alias("b"))
+    scored = pairs.join(left, "u").join(right, "w").select("u", "w", _dot("a", "b").alias("score"))
+    ranked = scored.withColumn("r", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("score"), "w")))
+    # with itself, top + 1 groups hold top others at least, but equal scores may draw in one of a later group
+    edge = F.max(F.when(F.col("r") == top + 1, F.col("score"))).over(Window.partitionBy("u"))
+    ranked = ranked.withColumn("edge", edge).where((F.col("r") <= top + 1) | (F.col("score") >= F.col("edge")))
+    first = members.withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).where(F.col("place") <= top + 1)
+    found = ranked.join(first.select(F.col("rep").alias("w"), "id"), "w").select("u", "id", "score")
+    best = found.withColumn("r", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("score"), "id"))).where(F.col("r") <= top + 1)
+    best = materialize(best.groupBy(F.col("u").alias("rep")).agg(F.array_sort(F.collect_list(F.struct("r", "id", "score"))).alias("best")), "nn-best")
+    drop_tables(nodes, packed, beams)
+    out = asked.join(best, "rep").select("id", F.slice(F.filter("best", lambda x: x["id"] != F.col("id")), 1, top).alias("best"))
+    return out.select(F.col("id").alias("query_id"), F.posexplode("best").alias("at", "x")).select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.id").alias(id_col), F.col("x.score").alias("score"))
 
 
 def op7_nearest(spark, sf_dir: str) -> DataFrame:

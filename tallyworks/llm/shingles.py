@@ -12,16 +12,14 @@ still in different components.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import batches_of, materialize
 from .components import components
 from .simhash import SEED, _settle, _signed, fingerprint
 
@@ -31,18 +29,6 @@ BITS = 1024
 SAMPLE, COMMON = 4_096, 65_536
 #: rows of texts in one Arrow batch
 ROWS = 256
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-@contextmanager
-def _small_batches(spark: SparkSession):
-    """What is planned inside sends ROWS rows at a time to Python, so that workers hold few texts at once."""
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(_BATCH, before)
 
 
 def shingles(text: bytes | None, n: int = WORDS) -> set[bytes]:
@@ -71,7 +57,7 @@ def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(_hashes(t))], names=["token"])
 
     tokens = texts.where(F.pmod("node", F.lit(share)) == 0).select(F.col("text").cast("binary")).mapInArrow(run, "token long")
-    with _small_batches(texts.sparkSession):
+    with batches_of(texts.sparkSession, ROWS):
         rows = tokens.groupBy("token").count().where("count > 2").orderBy(F.desc("count"), "token").limit(COMMON).collect()
     found = np.array(sorted(map(tuple, rows)), dtype=np.int64).reshape(-1, 2)
     return found[:, 0], found[:, 1]
@@ -174,7 +160,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, sigs: DataFrame) -> DataFrame:
     some = materialize(some.select("node", "fp", F.col("text").cast("binary").alias("t")), "shingles-texts")
     side = lambda k: some.select(F.col("node").alias(k), F.col("fp").alias(f"f{k}"), F.col("t").alias(f"t{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "fb", "ta", "tb")
-    with _small_batches(pairs.sparkSession):
+    with batches_of(pairs.sparkSession, ROWS):
         return materialize(both.mapInArrow(run, "a long, b long, fa long, fb long, near boolean"), "shingles-pairs")
 
 
@@ -183,7 +169,7 @@ def near_links(docs: DataFrame, text_col: str = "text") -> DataFrame:
     no others. A null text counts as empty; texts without words have no links; an empty table gives no rows."""
     text: Column = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
-    with _small_batches(docs.sparkSession):
+    with batches_of(docs.sparkSession, ROWS):
         sigs = materialize(signatures(texts), "shingles-rows").dropDuplicates(["node"])
     sigs = materialize(sigs.where("n > 0"), "shingles-nodes")
     tokens = sigs.select("node", F.explode("first").alias("token"))
