@@ -1,5 +1,10 @@
 import html as h
 import re
+import time
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from tallyworks.llm import html_text
 
@@ -20,9 +25,56 @@ def test_whole_table_equals_its_markup(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
-def test_labelled_pages_and_matter_to_leave_out():
-    for page, content in html_text.LABELLED:
-        assert html_text.extract(page).split() == content.split()
+def content(page):
+    return [w for kind, text, *_ in html_text.walk(page, {}) if kind == "block" for w in text.split() if html_text.is_content(w)]
+
+
+@pytest.mark.parametrize("held_out", html_text.TEMPLATES)
+def test_templates_that_were_not_learnt(held_out):
+    weights = html_text.learn(html_text.pages([t for t in html_text.TEMPLATES if t is not held_out]))
+    hit = found = wanted = 0
+    for page in html_text.pages([held_out]):
+        got, want = set(html_text.extract(page, weights).split()), set(content(page))
+        hit, found, wanted = hit + len(got & want), found + len(got), wanted + len(want)
+    assert hit / found > 0.9 and hit / wanted > 0.9
+
+
+@given(st.lists(st.integers(-6, 6)))
+def test_region_equals_brute_force(scores):
+    first, last = html_text.best_region([float(s) for s in scores])
+    sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+    assert sum(scores[first:last]) == max([0, *sums])
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<nav><ul><li>Home</li></ul></nav><article><p>one two three</p></article>", "one two three"),
+        ("<nav><a>Home</a></nav>", ""),
+        ('<nav><a>Home</a></nav><article class="post has-comments"><p>It is here now</p></article>', "It is here now"),
+        ('<nav>Home</nav><div class="main-content with-sidebar"><p>It is here now</p></div>', "It is here now"),
+        ('<nav>Home</nav><article class="article no-ads"><p>It is here</p></article>', "It is here"),
+        ('<article><p>As the <span class="author">Jane Roe</span> said this</p></article>', "As the Jane Roe said this"),
+        ('<article><p>one <span class="text">two</span> three</p></article>', "one two three"),
+        ('<article><p>Body text that is long enough</p></article><div class="feedback-list"><p>I liked it very much</p></div>', "Body text that is long enough"),
+        ('<article><p>First part</p><div class="ad">' + "buy now " * 400 + '</div><p>Second part</p></article>', "First part\n\nSecond part"),
+        ('<article><p><a href=x>All of this is a link</a></p><p>and this is not</p></article>', "All of this is a link\n\nand this is not"),
+        ('<body class="sidebar-left comments-on"><div class=zzz><p>Words of a page without a known class</p></div></body>', "Words of a page without a known class"),
+    ],
+)
+def test_what_decides(page, text):
+    assert html_text.extract(page) == text
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<div>x", "<a '", "<b>x", "</span>", "<!--", "<", "<a ", "<script>", '<a href="', "<a b='>", "<p><b>", "&", "<div class=a x=\">"])
+def test_a_long_page_takes_seconds(piece):
+    page = piece * (1_000_000 // len(piece))
+    began = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - began < 5
+
+
+def test_matter_to_leave_out():
     page = """<html><head><title>Site - Tale</title></head><body><header id="masthead" class="site-header"><a href=/>Home</a></header>
     <nav><ul><li><a>A</a><li><a>B</a></ul></nav><div class="cookie-banner">We use cookies a lot</div>
     <article><header><h1>A &amp; B</h1></header><p>First&nbsp;part <b>bold</b>\n text<script>var x = "<p>no</p>";</script></p>
