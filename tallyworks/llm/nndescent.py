@@ -109,8 +109,7 @@ def _seeds(packed: DataFrame, n: int, k: int, block: int, deals: int) -> DataFra
                     top = np.argpartition(-s, m - 1, axis=1)[:, :m]
                     yield _top(np.repeat(ids[own], m), ids[own][top.ravel()], np.take_along_axis(s, top, 1).ravel(), k)
 
-    with batches_of(packed.sparkSession, 64):
-        return materialize(met.select("met").mapInArrow(run, _PAIRS), "nn-seeds")
+    return met.select("met").mapInArrow(run, _PAIRS)
 
 
 def _merge(pairs: DataFrame, k: int) -> DataFrame:
@@ -181,13 +180,14 @@ def build(rows: DataFrame, k: int = K, rounds: int = MOST_ROUNDS, block: int = B
     packed = materialize(_pack(rows), "nn-packed")
     n = packed.count()
     seeds = _seeds(packed, n, k, block, deals) if n else packed.select(F.col("id").alias("u"), F.col("id").alias("w"), F.lit(0.0).cast("float").alias("sim"))
-    nodes = materialize(_merge(seeds.withColumn("fresh", F.lit(True)), k), "nn-graph")
+    with batches_of(rows.sparkSession, 64):
+        nodes = materialize(_merge(seeds.withColumn("fresh", F.lit(True)), k), "nn-graph")
     for _ in range(rounds if n > block else 0):
-        with batches_of(rows.sparkSession, 1024):
-            found = materialize(_meet(nodes, packed, k), "nn-met")
         last = nodes
-        nodes = materialize(_merge(_edges(nodes).withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True))), k), "nn-graph")
-        drop_tables(last, found)
+        with batches_of(rows.sparkSession, 1024):
+            found = _meet(last, packed, k).withColumn("fresh", F.lit(True))
+            nodes = materialize(_merge(_edges(last).withColumn("fresh", F.lit(False)).unionByName(found), k), "nn-graph")
+        drop_tables(last)
         if _news(nodes) < DELTA:
             break
     return nodes, packed, n
@@ -222,12 +222,12 @@ def search(nodes: DataFrame, packed: DataFrame, queries: DataFrame, beam: int, k
     beams = None
     for _ in range(MOST_ROUNDS):
         met = step.join(mine, "u").groupBy("v", F.pmod(F.xxhash64("u"), F.lit(salts)).alias("salt")).agg(F.collect_list(F.struct("u", "uq", "worst")).alias("us"))
-        with batches_of(packed.sparkSession, 1024):
-            found = materialize(met.join(around, "v").select("us", "ws").mapInArrow(run, _PAIRS), "nn-found")
-        pairs = found.withColumn("fresh", F.lit(True))
+        pairs = met.join(around, "v").select("us", "ws").mapInArrow(run, _PAIRS).withColumn("fresh", F.lit(True))
         last = beams
-        beams = materialize(_merge(pairs if last is None else pairs.unionByName(_edges(last).withColumn("fresh", F.lit(False))), beam), "nn-beam")
-        drop_tables(found, *([last] if last is not None else []))
+        with batches_of(packed.sparkSession, 1024):
+            beams = materialize(_merge(pairs if last is None else pairs.unionByName(_edges(last).withColumn("fresh", F.lit(False))), beam), "nn-beam")
+        if last is not None:
+            drop_tables(last)
         if _news(beams) < DELTA:
             break
         step = beams.select("u", "worst", F.inline("near")).where("fresh").select("u", F.col("w").alias("v"), "worst")
