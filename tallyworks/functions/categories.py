@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ascii_fold, clean_text, slugify
+from .text import ascii_fold, clean_text, slugify, trim_text
 
 # fixed values: the domains of the source systems
 FUNDING = ("bildungsgutschein", "selbstzahler", "firmenkunde")
@@ -15,8 +15,8 @@ STATUSES = ("angemeldet", "aktiv", "pausiert", "abgeschlossen", "abgebrochen", "
 OPEN_STATUSES = STATUSES[:3]
 STATES = ("Baden-Württemberg", "Bayern", "Berlin", "Brandenburg", "Bremen", "Hamburg", "Hessen", "Mecklenburg-Vorpommern", "Niedersachsen", "Nordrhein-Westfalen", "Rheinland-Pfalz", "Saarland", "Sachsen", "Sachsen-Anhalt", "Schleswig-Holstein", "Thüringen")
 QUESTIONS = {"zufriedenheit_gesamt": "wochenfeedback", "tempo": "wochenfeedback", "freitext": "wochenfeedback", "nps": "abschlussfeedback", "zufriedenheit_coach": "abschlussfeedback", "weiterempfehlung_grund": "abschlussfeedback"}
-RANGES = {"nps": (0, 10), "zufriedenheit_gesamt": (1, 5), "tempo": (1, 5), "zufriedenheit_coach": (1, 5)}
-LIGHTS = {"gruen": "green", "g": "green", "green": "green", "gelb": "yellow", "y": "yellow", "yellow": "yellow", "rot": "red", "r": "red", "red": "red"}
+RANGES = {"zufriedenheit_gesamt": (1, 5), "zufriedenheit_coach": (1, 5), "tempo": (1, 5), "nps": (0, 10)}
+LIGHTS = {"gruen": "green", "g": "green", "green": "green", "gelb": "yellow", "yellow": "yellow", "rot": "red", "r": "red", "red": "red"}
 TRUE, FALSE = ("true", "1", "yes", "y", "ja", "j", "wahr"), ("false", "0", "no", "n", "nein", "falsch")
 
 
@@ -29,20 +29,17 @@ def standardize(x: Column, allowed: tuple[str, ...] | None) -> Column:
 
 
 def lookup(key: Column, table: dict[str, str]) -> Column:
-    out = F.lit(None).cast("string")
-    for k, v in table.items():
-        out = F.when(key == k, v).otherwise(out)
-    return out
+    """The table's value under the key, which is computed once; a key that it lacks is null."""
+    return F.try_element_at(F.create_map(*[F.lit(v) for pair in table.items() for v in pair]), key)
 
 
-def _plain(s: str) -> str:
-    for a, b in (("ä", "ae"), ("ö", "oe"), ("ü", "ue")):
-        s = s.lower().replace(a, b)
-    return "".join(c if c.isalnum() else "_" for c in s)
+def _folded(s: str) -> str:
+    return s.lower().replace("ä", "ae").replace("ö", "oe").replace("ü", "ue")
 
 
 def federal_state(x: Column) -> Column:
-    return lookup(slugify(x), {_plain(s): s for s in STATES})
+    """The state whose folded name the text is; spellings that differ in more than case and umlauts are null."""
+    return lookup(ascii_fold(clean_text(x)), {_folded(s): s for s in STATES})
 
 
 def traffic_light(x: Column) -> Column:
@@ -50,5 +47,5 @@ def traffic_light(x: Column) -> Column:
 
 
 def parse_boolean(x: Column) -> Column:
-    key = ascii_fold(clean_text(x))
+    key = F.lower(trim_text(x))
     return F.when(key.isin(*TRUE), True).when(key.isin(*FALSE), False)

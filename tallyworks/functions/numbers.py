@@ -9,12 +9,11 @@ from .text import is_missing, trim_text
 
 
 def parse_decimal(x: Column, precision: int = 18, scale: int = 6) -> Column:
-    """1.234,56 and 3,5 (German), 12.5 and -7 (plain); anything else null. One point before three digits is a decimal point."""
-    t = F.regexp_replace(trim_text(x), r"(?U)\s", "")
-    german = F.when(t.rlike(r"^[+-]?\d{1,3}(\.\d{3})+,\d+$|^[+-]?\d+,\d+$"), F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-    many = F.when(t.rlike(r"^[+-]?\d{1,3}(\.\d{3}){2,}$"), F.replace(t, F.lit("."), F.lit("")))
-    plain = F.when(t.rlike(r"^[+-]?\d+(\.\d+)?$"), t)
-    return F.coalesce(german, many, plain).try_cast(f"decimal({precision},{scale})")
+    """1.234,56, 1.234 and 3,5 (German), 12.5 and -7 (plain); anything else null. Points before three digits each group thousands."""
+    t = F.replace(trim_text(x), F.lit(" "), F.lit(""))
+    grouped = t.rlike(r"^\d{1,3}(\.\d{3})+(,\d+)?$")
+    t = F.replace(F.when(grouped, F.replace(t, F.lit("."), F.lit(""))).otherwise(t), F.lit(","), F.lit("."))
+    return F.when(t.rlike(r"^-?\d+(\.\d+)?$"), t).try_cast(f"decimal({precision},{scale})")
 
 
 def money(x: Column) -> Column:
@@ -32,12 +31,12 @@ def whole_number(x: Column) -> Column:
 def parse_answer(x: Column) -> Column:
     """struct(score, scale, kind) of "4" (kind number), "7/10" (kind ratio, scale 10), a missing answer, or other text."""
     t = trim_text(x)
-    ratio = r"^\s*(\d+(?:[.,]\d+)?)\s*/\s*(\d+)\s*$"
+    ratio = r"^(-?\d+(?:[.,]\d+)?)\s*/\s*(\d+(?:[.,]\d+)?)$"
     top, bottom = F.regexp_extract(t, ratio, 1), F.regexp_extract(t, ratio, 2)
     plain = parse_decimal(t)
     kind = F.when(is_missing(x), "missing").when(t.rlike(ratio), "ratio").when(plain.isNotNull(), "number").otherwise("text")
     score = F.when(kind == "ratio", parse_decimal(top)).when(kind == "number", plain)
-    return F.struct(F.round(score, 2).try_cast("decimal(5,2)").alias("score"), F.when(kind == "ratio", bottom.try_cast("int")).alias("scale"), kind.alias("kind"))
+    return F.struct(F.round(score, 2).try_cast("decimal(5,2)").alias("score"), F.when(kind == "ratio", parse_decimal(bottom, 18, 3)).alias("scale"), kind.alias("kind"))
 
 
 def nps_group(score: Column) -> Column:

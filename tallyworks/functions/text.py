@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # fixed values: texts that stand for no value, compared without case
 MISSING = ("", "-", "--", "n/a", "null", "none", "k.a.", "k. a.")
-# fixed values: name parts that stay lower-case
-PARTICLES = ("von", "van", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le", "zu", "zum", "zur", "vom", "am", "im", "an", "und")
+# fixed values: parts of city names that stay lower-case
+PARTICLES = ("am", "an", "auf", "bei", "der", "die", "das", "dem", "den", "im", "in", "ob", "unter", "vor", "von", "zu", "zum", "zur", "und", "a.", "d.")
 
 
 def _pairs() -> tuple[str, str]:
@@ -26,19 +26,23 @@ def _pairs() -> tuple[str, str]:
 _FROM, _TO = _pairs()
 
 
-def trim_text(x: Column) -> Column:
-    """White space of any script at the edges goes; nothing left is null."""
+def _trimmed(x: Column) -> Column:
     out = F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
     return F.when(F.length(out) > 0, out)
 
 
 def is_missing(x: Column) -> Column:
-    return F.coalesce(F.lower(trim_text(x)).isin(*MISSING), F.lit(True))
+    return F.coalesce(F.lower(_trimmed(x)).isin(*MISSING), F.lit(True))
+
+
+def trim_text(x: Column) -> Column:
+    """White space of any script at the edges goes; nothing left, or a missing marker, is null."""
+    return F.when(~is_missing(x), _trimmed(x))
 
 
 def clean_text(x: Column) -> Column:
     """Edges trimmed, inner white space one space, missing markers null."""
-    return F.when(~is_missing(x), trim_text(F.regexp_replace(x, r"(?U)\s+", " ")))
+    return F.when(~is_missing(x), _trimmed(F.regexp_replace(x, r"(?U)\s+", " ")))
 
 
 def transliterate(x: Column) -> Column:
@@ -72,27 +76,34 @@ def split_name(x: Column) -> Column:
     comma = F.contains(name, F.lit(","))
     words = F.split(name, " ")
     many = F.size(words) > 1
-    last = F.when(comma, trim_text(F.substring_index(name, ",", 1))).otherwise(F.element_at(words, -1))
-    first = F.when(comma, trim_text(F.regexp_replace(name, "^[^,]*,", ""))).otherwise(F.when(many, F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), " ")))
+    last = F.when(comma, clean_text(F.substring_index(name, ",", 1))).otherwise(F.element_at(words, -1))
+    first = F.when(comma, clean_text(F.regexp_replace(name, "^[^,]*,", ""))).otherwise(F.when(many, F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), " ")))
     return F.struct(last.alias("last"), first.alias("first"))
 
 
 def _capital(word: Column) -> Column:
-    """First letters of the parts between hyphens and apostrophes raised; words in one case are lowered first."""
-    same = (word == F.upper(word)) | (word == F.lower(word))
-    base = F.when(same, F.lower(word)).otherwise(word)
-    up = lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, F.lit(2), F.length(p)))
-    hyphened = F.array_join(F.transform(F.split(base, "-", -1), up), "-")
-    return F.array_join(F.transform(F.split(hyphened, "'", -1), up), "'")
+    """First letters of the parts between hyphens and apostrophes raised; a part in one case is lowered first."""
+
+    def up(p: Column) -> Column:
+        rest = F.substring(p, F.lit(2), F.length(p))
+        return F.concat(F.upper(F.substring(p, 1, 1)), F.when((p == F.upper(p)) | (p == F.lower(p)), F.lower(rest)).otherwise(rest))
+
+    return F.array_join(F.transform(F.regexp_extract_all(word, F.lit("[^-'’]+|[-'’]"), F.lit(0)), up), "")
+
+
+def person_name(x: Column) -> Column:
+    """Every part of a name capitalized."""
+    return F.array_join(F.transform(F.split(clean_text(x), " "), _capital), " ")
 
 
-def title_case(x: Column, particles: tuple[str, ...] = PARTICLES) -> Column:
+def city_name(x: Column) -> Column:
+    """Every word capitalized but for the particles after the first."""
     words = F.split(clean_text(x), " ")
-    return F.array_join(F.transform(words, lambda w, i: F.when((i > 0) & F.lower(w).isin(*particles), F.lower(w)).otherwise(_capital(w))), " ")
+    return F.array_join(F.transform(words, lambda w, i: F.when((i > 0) & F.lower(w).isin(*PARTICLES), F.lower(w)).otherwise(_capital(w))), " ")
 
 
 def normalize_email(x: Column) -> Column:
-    return F.lower(F.when(~is_missing(x), trim_text(x)))
+    return F.replace(F.lower(trim_text(x)), F.lit("ß"), F.lit("ss"))
 
 
 def is_email(x: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Data tests: each gives the rows that fail."""
+"""Data tests. Those of a row are conditions that fail()s of one scan can count together; the others give the rows that fail."""
 
 from __future__ import annotations
 
@@ -10,32 +10,39 @@ def unique_combination(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(*columns).count().where("count > 1")
 
 
-def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+def is_null(column: str) -> Column:
+    return F.col(column).isNull()
 
 
-def value_between(df: DataFrame, column: str, low, high) -> DataFrame:
-    return df.where(~F.col(column).between(low, high))
+def not_between(column: str, low, high) -> Column:
+    return ~F.col(column).between(low, high)
 
 
-def timestamp_in_range(df: DataFrame, column: str, low, high) -> DataFrame:
-    return df.where((F.col(column) < F.lit(low)) | (F.col(column) >= F.lit(high)))
+def out_of_time(column: str, low: str, high: str) -> Column:
+    """Before low or not before high."""
+    at = lambda s: F.lit(s).cast("timestamp")
+    return (F.col(column).cast("timestamp") < at(low)) | (F.col(column).cast("timestamp") >= at(high))
 
 
-def column_lte(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.where(F.col(a) > F.col(b))
+def exceeds(a: str, b: str) -> Column:
+    return F.col(a) > F.col(b)
 
 
-def equals_constant(df: DataFrame, column: str, value) -> DataFrame:
-    return df.where(~F.col(column).eqNullSafe(F.lit(value)))
+def differs_from(column: str, value) -> Column:
+    return ~F.col(column).eqNullSafe(F.lit(value))
 
 
-def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
-    return df.where(~F.col(column).isin(*values))
+def unaccepted(column: str, values: list) -> Column:
+    return ~F.col(column).isin(*values)
 
 
-def list_values_in(df: DataFrame, column: str, values: list) -> DataFrame:
-    return df.where(F.exists(column, lambda x: ~x.isin(*values)))
+def list_value_unaccepted(column: str, values: list) -> Column:
+    return F.exists(column, lambda x: ~x.isin(*values))
+
+
+def failing(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
+    """One row with the number of rows that fail each test, from one scan; what is null does not fail."""
+    return df.agg(*[F.count_if(F.coalesce(t, F.lit(False))).cast("bigint").alias(name) for name, t in tests.items()])
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -53,8 +60,3 @@ def flags(issues: Column, duplicates: Column | None = None) -> Column:
     """Rule names, duplicate flags first, each once, in the order in which they came."""
     names = F.transform(issues, lambda i: i["rule"])
     return F.array_distinct(F.concat(F.array_compact(duplicates), names) if duplicates is not None else names)
-
-
-def run_all(checks: dict[str, DataFrame]) -> dict[str, int]:
-    """Failing rows by check."""
-    return {name: df.count() for name, df in checks.items()}

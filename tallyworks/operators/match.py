@@ -1,13 +1,15 @@
 """Entity matching by a ladder of equi-joins that never guesses.
 
-Each rung is one join on keys, aggregated to a count of candidates and the smallest of them, so that the output has exactly the
-input's rows. The first rung with exactly one candidate matches. Where rungs find several candidates and none finds one, the row is
+Each rung looks the rows up in a table with one row per key: the count of candidates and the smallest of them. So neither a
+common key nor the number of rungs multiplies rows, and the output has exactly the input's rows. The first rung with exactly one candidate matches. Where rungs find several candidates and none finds one, the row is
 ambiguous.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +25,14 @@ class Rung:
 
 
 def ladder(rows: DataFrame, known: DataFrame, row_id: str, known_id: str, rungs: list[Rung]) -> DataFrame:
-    """rows with status (matched, ambiguous, unmatched), method and matched_id. Null keys match nothing."""
+    """rows with status (matched, ambiguous, unmatched), method and matched_id. Null keys match nothing; row_id names the rows and
+    need not be unique."""
     out = rows
     for i, rung in enumerate(rungs):
-        left = rows if rung.when is None else rows.where(rung.when)
-        found = left.select(row_id, *rung.keys).join(known.select(known_id, *rung.keys), rung.keys)
-        found = found.groupBy(row_id).agg(F.count_distinct(known_id).alias(f"_n{i}"), F.min(known_id).alias(f"_id{i}"))
-        out = out.join(found, row_id, "left")
+        counts = known.where(reduce(and_, [F.col(k).isNotNull() for k in rung.keys])).groupBy(*[F.col(k).alias(f"_k{i}_{k}") for k in rung.keys])
+        counts = counts.agg(F.count_distinct(known_id).alias(f"_n{i}"), F.min(known_id).alias(f"_id{i}"))
+        same = reduce(and_, [F.col(k) == F.col(f"_k{i}_{k}") for k in rung.keys])
+        out = out.join(counts, same if rung.when is None else same & rung.when, "left")
     method, matched, blocked = F.lit(None).cast("string"), F.lit(None), F.lit(False)
     most = F.lit(0).cast("bigint")
     for i, rung in enumerate(rungs):

@@ -70,9 +70,9 @@ def flag_present(df: DataFrame, keys: DataFrame, on: dict[str, str], name: str)
 
 
 def owner_conflicts(df: DataFrame, group: list[str], keep: Column, owner: str) -> DataFrame:
-    """Per group: rows that count, the least and greatest owner among them, and whether they differ."""
-    w = Window.partitionBy(*group)
-    out = df.withColumns({"claim_count": F.count_if(keep).over(w), "owner_min": F.min(F.when(keep, F.col(owner))).over(w), "owner_max": F.max(F.when(keep, F.col(owner))).over(w)})
+    """One row per group: rows that count, the least and greatest owner among them, and whether they differ."""
+    mine = F.when(keep, F.col(owner))
+    out = df.groupBy(*group).agg(F.count_if(keep).alias("claim_count"), F.min(mine).alias("owner_min"), F.max(mine).alias("owner_max"))
     return out.withColumn("has_conflict", F.coalesce(F.col("owner_min") != F.col("owner_max"), F.lit(False)))
 
 

@@ -10,7 +10,7 @@ from ..functions import categories as K
 from ..functions import dates, numbers, text
 from ..functions.ids import payload_hash
 from ..operators import checks
-from ..operators.rows import flag_present
+from ..operators.rows import dedupe_latest, flag_present
 
 C = F.col
 
@@ -22,7 +22,9 @@ def issue(when: Column, rule: str, severity: str = "error") -> Column:
 def finish(df: DataFrame, key: str, issues: list[Column], fields: list[str]) -> DataFrame:
     """Duplicate counts, quality_flags, validation_status and is_quarantined; a missing id is an error and counts as single."""
     hashed = df.withColumn("payload_hash", payload_hash(df, fields))
-    by, same = Window.partitionBy(key), Window.partitionBy(key, "payload_hash")
+    # rows without an id all count 1; their hash spreads them over the tasks
+    apart = F.when(C(key).isNull(), C("payload_hash"))
+    by, same = Window.partitionBy(key, apart), Window.partitionBy(key, "payload_hash")
     hashed = hashed.withColumns({"duplicate_id_count": F.when(C(key).isNull(), 1).otherwise(F.count("*").over(by)), "duplicate_payload_count": F.when(C(key).isNull(), 1).otherwise(F.count("*").over(same))})
     found = F.array_compact(F.array(issue(C(key).isNull(), "missing_source_id"), *issues))
     out = hashed.withColumn("_issues", found)
@@ -67,7 +69,7 @@ def participants(raw: DataFrame, as_of: str, everyone: DataFrame | None = None)
     """everyone: the whole raw history, in which shared addresses are looked for (else raw itself)."""
     fields = raw.columns
     funding, state = K.standardize(C("funding_type"), K.FUNDING), K.federal_state(C("federal_state"))
-    df = raw.withColumns({"participant_id": text.trim_text(C("participant_id")), "first_name_clean": text.title_case(C("first_name")), "last_name_clean": text.title_case(C("last_name")), "email_clean": text.normalize_email(C("email")), "city_clean": text.title_case(C("city")), "state": F.coalesce(state, text.clean_text(C("federal_state")), F.lit("unknown")), "funding": funding["value"], "birth": dates.parse_flexible_date(C("birth_date")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
+    df = raw.withColumns({"participant_id": text.trim_text(C("participant_id")), "first_name_clean": text.person_name(C("first_name")), "last_name_clean": text.person_name(C("last_name")), "email_clean": text.normalize_email(C("email")), "city_clean": text.city_name(C("city")), "state": F.coalesce(state, text.clean_text(C("federal_state")), F.lit("unknown")), "funding": funding["value"], "birth": dates.parse_flexible_date(C("birth_date")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
     known = df if everyone is None else everyone.select(text.trim_text(C("participant_id")).alias("participant_id"), text.normalize_email(C("email")).alias("email_clean"))
     shared = known.where("email_clean is not null").groupBy("email_clean").agg((F.count_distinct("participant_id") > 1).alias("shared_email"), F.min(F.struct(F.length("participant_id").alias("n"), C("participant_id").alias("id")))["id"].alias("canonical_id"))
     df = df.join(shared, "email_clean", "left").withColumn("canonical_participant_id", F.coalesce("canonical_id", "participant_id")).drop("canonical_id")
@@ -143,6 +145,7 @@ def trainings(raw: DataFrame) -> DataFrame:
 
 
 def modules(catalog: DataFrame) -> DataFrame:
-    """One row per training and module, from trainings()."""
+    """One row per training and module, the first by order and name where the catalog repeats one, from trainings()."""
     rows = catalog.where("training_id is not null").select("training_id", F.explode("modules").alias("m"))
-    return rows.select("training_id", text.normalize_upper(C("m.module_id")).alias("module_id"), C("m.module_order").cast("int").alias("module_order"), text.clean_text(C("m.module_name")).alias("module_name"), C("m.estimated_hours").cast("int").alias("estimated_hours")).where("module_id is not null")
+    rows = rows.select("training_id", text.normalize_upper(C("m.module_id")).alias("module_id"), C("m.module_order").cast("int").alias("module_order"), text.clean_text(C("m.module_name")).alias("module_name"), C("m.estimated_hours").cast("int").alias("estimated_hours")).where("module_id is not null")
+    return dedupe_latest(rows, ["training_id", "module_id"], [C(c).asc_nulls_last() for c in ("module_order", "module_name", "estimated_hours")])

@@ -102,7 +102,8 @@ def int_coach_assignment_matches(c):
     a = c["assignments"].join(e, (C("match_status") == "matched") & (C("enrollment_id") == C("_e")), "left")
     a = a.withColumns({"matched_enrollment_id": C("_e"), "is_confident": C("_e").isNotNull(), "is_open": F.coalesce(C("status_clean").isin(*OPEN_STATUSES), F.lit(False))})
     a = a.crossJoin(F.broadcast(c["assignments"].agg(F.max("snapshot_date").alias("latest")))).withColumn("is_latest", C("snapshot_date") == C("latest"))
-    w = Window.partitionBy("snapshot_date", "matched_enrollment_id")
+    # rows without a match claim nothing; their own id spreads them over the tasks
+    w = Window.partitionBy("snapshot_date", "matched_enrollment_id", F.when(C("matched_enrollment_id").isNull(), C("coach_assignment_id")))
     ok = C("is_confident")
     a = a.withColumns({"claims": F.coalesce(F.count_if(ok).over(w), F.lit(0)), "lo": F.min(F.when(ok, C("coach"))).over(w), "hi": F.max(F.when(ok, C("coach"))).over(w)})
     return a.withColumns({"has_conflict": F.coalesce(C("lo") != C("hi"), F.lit(False)), "is_red": F.coalesce(ok & C("is_open") & (C("ampel") == "red"), F.lit(False))}).drop("_e", "latest", "lo", "hi")

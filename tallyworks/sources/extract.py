@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from datetime import datetime
+from datetime import UTC, datetime
 
 SHRINK_LIMIT = 0.5
 
@@ -28,15 +28,19 @@ def fingerprint(records: list[dict]) -> str:
     return hashlib.sha256(json.dumps(records, sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()
 
 
-def newest(values: list[str | None]) -> str | None:
-    """The latest of ISO texts by instant, as written; unreadable ones are passed over."""
+def newest(values: list) -> str | None:
+    """The latest of ISO texts by instant, the first as written of equals; without an offset they are UTC. Others are passed over."""
     best = None
     for v in values:
+        if not isinstance(v, str):
+            continue
         try:
-            t = datetime.fromisoformat((v or "").replace("Z", "+00:00")).replace(tzinfo=None)
+            t = datetime.fromisoformat(v.strip().upper().replace("Z", "+00:00"))
         except ValueError:
             continue
-        best = max(best or (t, v), (t, v), key=lambda x: x[0])
+        t = t.replace(tzinfo=UTC) if t.tzinfo is None else t
+        if best is None or t > best[0]:
+            best = (t, v)
     return best[1] if best else None
 
 

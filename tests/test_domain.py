@@ -116,6 +116,8 @@ def test_workbook_and_load_rules():
         extract.check_contract([{"a": 1}], ["a", "b"])
     extract.check_contract([{"a": 1}, {"b": 1}], ["a", "b"])
     assert extract.newest(["2026-01-02T00:00:00", "x", None, "2026-01-10T00:00:00Z"]) == "2026-01-10T00:00:00Z"
+    assert extract.newest(["2026-01-02T01:00:00+02:00", " 2026-01-02T00:30:00z", 7]) == " 2026-01-02T00:30:00z"
+    assert extract.newest(["2026-01-02T00:30:00", "2026-01-02T03:00:00+02:00", "2026-01-02T01:00:00Z"]) == "2026-01-02T03:00:00+02:00"
     log = [{"dataset": "d", "snapshot_date": s, "status": "LOADED", "watermark": w} for s, w in (("2026-01-01", "2026-01-01"), ("2026-01-02", "2026-01-05"))]
     assert extract.watermark(log, "d", "2026-01-02") == "2026-01-01"
     extract.check_shrink(10, 5)

@@ -17,7 +17,9 @@ def test_text(spark):
     assert values(spark, text.ascii_fold, ["Müller", "STRASSE ẞß", "é́ ö", "Łódź"]) == ["mueller", "strasse ssss", "e oe", "lodz"]
     assert values(spark, text.slugify, ["Bildungs-Gutschein ", "--", "Ä & B"]) == ["bildungs_gutschein", None, "ae_b"]
     assert values(spark, lambda x: text.name_key(x), ["Last, First", "first LAST", "..."]) == ["first last", "first last", None]
-    assert values(spark, text.title_case, ["  anna-lena ", "MÜLLER", "frankfurt am main", "McDonald", "o'neil", None]) == ["Anna-Lena", "Müller", "Frankfurt am Main", "McDonald", "O'Neil", None]
+    assert values(spark, text.person_name, ["  anna-lena ", "MÜLLER", "van der berg", "McDonald", "o'neil", "d’ARC", "MÜLLER-LüDKE", None]) == ["Anna-Lena", "Müller", "Van Der Berg", "McDonald", "O'Neil", "D’Arc", "Müller-LüDKE", None]
+    assert values(spark, text.city_name, ["  FRANKFURT AM MAIN ", "rothenburg OB der tauber", "neustadt in holstein", "frankfurt a. d. oder", "am see", "garmisch-partenkirchen", ""]) == ["Frankfurt am Main", "Rothenburg ob der Tauber", "Neustadt in Holstein", "Frankfurt a. d. Oder", "Am See", "Garmisch-Partenkirchen", None]
+    assert values(spark, text.trim_text, ["  zwei  Worte \n", "   ", "n/a"]) == ["zwei  Worte", None, None]
     assert [tuple(v) for v in values(spark, text.split_name, ["Weber, Anna", "Anna Maria Weber", "Weber"])] == [("Weber", "Anna"), ("Weber", "Anna Maria"), ("Weber", None)]
     assert values(spark, lambda x: text.is_email(text.normalize_email(x)), [" A@B.com ", "a@b", None]) == [True, False, False]
 
@@ -33,11 +35,13 @@ def test_dates(spark):
 
 
 def test_numbers_and_categories(spark):
-    assert values(spark, numbers.money, ["1.234,56", "3,5", "12.5", "1.234.567", "0.005", "x", "99999999999"]) == [Decimal("1234.56"), Decimal("3.50"), Decimal("12.50"), Decimal("1234567.00"), Decimal("0.01"), None, None]
+    assert values(spark, numbers.money, ["1.234,56", "3,5", "12.5", "1.234.567", "0,005", "x", "99999999999"]) == [Decimal("1234.56"), Decimal("3.50"), Decimal("12.50"), Decimal("1234567.00"), Decimal("0.01"), None, None]
+    assert values(spark, numbers.parse_decimal, ["1.234", "-1.234", "1.234,5", "1,2,3", "nan", "+5", "- 7", "12.5", "-"]) == [Decimal(1234), Decimal("-1.234"), Decimal("1234.5"), None, None, None, Decimal(-7), Decimal("12.5"), None]
+    assert [tuple(v) for v in values(spark, numbers.parse_answer, ["-1/10", "7/7,5", " 10 / 10 ", "3,5", "1/x"])] == [(Decimal(-1), Decimal(10), "ratio"), (Decimal(7), Decimal("7.5"), "ratio"), (Decimal(10), Decimal(10), "ratio"), (Decimal("3.5"), None, "number"), (None, None, "text")]
     assert values(spark, numbers.whole_number, ["5", "5.0", "5.5", "1099511627776"]) == [5, 5, None, None]
     assert [tuple(v) for v in values(spark, numbers.parse_answer, ["9", "6/10", "eleven", None])] == [(Decimal("9.00"), None, "number"), (Decimal("6.00"), 10, "ratio"), (None, None, "text"), (None, None, "missing")]
     assert values(spark, lambda x: numbers.nps_group(x.cast("int")), ["10", "8", "6", None]) == ["promoter", "passive", "detractor", None]
     assert [tuple(v) for v in values(spark, lambda x: K.standardize(x, K.STATUSES), [" Aktiv ", "", "weg"])] == [("aktiv", "mapped"), ("unknown", "missing"), ("weg", "unmapped")]
-    assert values(spark, K.traffic_light, ["Grün", " R ", "gelb!", "blau"]) == ["green", "red", "yellow", None]
-    assert values(spark, K.federal_state, ["thüringen", "Baden Wuerttemberg", "Wien"]) == ["Thüringen", "Baden-Württemberg", None]
+    assert values(spark, K.traffic_light, ["Grün", " R ", "gelb!", "blau", "y"]) == ["green", "red", "yellow", None, None]
+    assert values(spark, K.federal_state, ["thueringen", "BADEN-württemberg", "Baden Wuerttemberg", "Wien"]) == ["Thüringen", "Baden-Württemberg", None, None]
     assert values(spark, K.parse_boolean, ["Ja", "falsch", "", "vielleicht"]) == [True, False, None, None]
