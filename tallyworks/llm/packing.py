@@ -65,24 +65,27 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     Documents of one cluster (by default: of equal words but for the case of A-Z) never share a bin, and a bin holds at
     most per_source pieces of a source. A document without words (null or empty) has no piece. A null source is a source; null ids
-    and repeated rows are documents of their own. bin_id is unique over all shards and the same in reruns on the same rows.
+    and repeated rows are documents of their own. bin_id is unique over all shards and the same in reruns on the same rows, however
+    they are partitioned.
     An empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.btrim(F.regexp_replace(ascii_lower(text), r"[\x20\x09-\x0D]+", " "), F.lit(" "))
     small = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("n"), (F.xxhash64(words) if cluster is None else F.xxhash64(cluster)).alias("cluster"), F.xxhash64(text).alias("th"))
-    small = materialize(small.where("n > 0"), "packing-sizes")
+    # equal rows are documents of their own, told apart by number, whatever tasks they come from
+    small = small.where("n > 0").groupBy("id", "source", "n", "cluster", "th").agg(F.count("*").alias("many"))
+    small = materialize(small.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("many")))).drop("many"), "packing-sizes")
     full = F.floor(F.col("n") / capacity).cast("long")
     rest = F.col("n") % capacity
     shards = max(1, round(small.where(rest > 0).count() / shard))
     # the row's place in its shard comes from content alone, so that a lost task's rerun packs the same bins
-    mixed = F.xxhash64(F.lit("packing"), "id", "th")
-    part = small.where(rest > 0).select(F.pmod(mixed, F.lit(shards)).cast("int").alias("shard"), "id", "source", "cluster", "th", rest.alias("size"), full.alias("piece"))
+    mixed = F.xxhash64(F.lit("packing"), "id", "th", "k")
+    part = small.where(rest > 0).select(F.pmod(mixed, F.lit(shards)).cast("int").alias("shard"), "id", "source", "cluster", "th", "k", rest.alias("size"), full.alias("piece"))
     id_type = docs.schema[id_col].dataType
     schema = f"`{id_col}` {id_type.simpleString()}, piece long, bin_id string, offset long, size long, source string, cluster long"
 
     def run(key, table):
-        table = table.sort_by([("size", "descending"), ("cluster", "ascending"), ("th", "ascending"), ("id", "ascending")])
+        table = table.sort_by([("size", "descending"), ("cluster", "ascending"), ("th", "ascending"), ("id", "ascending"), ("k", "ascending")])
         sources, clusters, seen = {}, {}, {}
         for c in table["cluster"].to_pylist():
             seen[c] = seen.get(c, 0) + 1
@@ -94,9 +97,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         return pa.table([table["id"], table["piece"], pa.array([f"{label}{b}" for b, _ in bins], pa.string()), pa.array([o for _, o in bins], pa.int64()), table["size"], table["source"].cast(pa.string()), table["cluster"]], names=[id_col, "piece", "bin_id", "offset", "size", "source", "cluster"])
 
     packed = part.groupBy("shard").applyInArrow(run, schema)
-    whole = small.where(full > 0).select(F.col("id"), F.explode(F.sequence(F.lit(0), full - 1)).alias("piece"), "source", "cluster", "th")
-    # equal rows need bins of their own too
-    whole = whole.select(F.col("id").alias(id_col), "piece", F.concat_ws("-", F.lit("w"), F.lower(F.hex(F.xxhash64("id", "th"))), F.monotonically_increasing_id(), "piece").alias("bin_id"), F.lit(0).cast("long").alias("offset"), F.lit(capacity).cast("long").alias("size"), F.col("source").cast("string"), "cluster")
+    whole = small.where(full > 0).select(F.col("id"), F.explode(F.sequence(F.lit(0), full - 1)).alias("piece"), "source", "cluster", "th", "k")
+    whole = whole.select(F.col("id").alias(id_col), "piece", F.concat_ws("-", F.lit("w"), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lower(F.hex(F.xxhash64("source", "cluster", "th"))), "k", "piece").alias("bin_id"), F.lit(0).cast("long").alias("offset"), F.lit(capacity).cast("long").alias("size"), F.col("source").cast("string"), "cluster")
     return packed.unionByName(whole)
 
 

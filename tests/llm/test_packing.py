@@ -59,3 +59,10 @@ def test_odd_rows(spark):
         held(got, 10, 2)
         assert sum(r.size for r in got) == 59 and len(got) == 9
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_bins_do_not_depend_on_partitions(spark):
+    rows = [(i % 70, "w " * (7 * i % 45), "ab"[i % 2]) for i in range(400)] + [(None, "w " * 25, "a")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    ways = [sorted(map(tuple, packing.pack(x, capacity=20, per_source=2, shard=50).collect()), key=str) for x in (df.repartition(1), df.repartition(7), df.repartition(5, "text"))]
+    assert ways[0] == ways[1] == ways[2]
