@@ -5,8 +5,9 @@ a weight table per place gives the log odds of bad, and a 2 x 2 table scores nei
 weighted by the lines' lengths, give the good share of a document, and a logistic curve maps that to the probability of label 1.
 
 Labels are of documents. Lines of documents labelled 1 are good; lines of others start as bad, and after each round keep
-that label only where the model agrees (or everywhere, where it agrees nowhere). Fitting takes at most SAMPLE documents of
-each label, those with the smallest md5 of their id, whole; scoring covers every document, in one pass without a shuffle.
+that label only where the model agrees (or everywhere, where it agrees nowhere). Fitting takes whole documents, those with the
+smallest md5 of their id, at most SAMPLE of each label and of LINES lines together (one at least); only their lines' levels reach
+the driver. Scoring covers every document, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -18,9 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .common import materialize
 
 #: labelled documents of each label that fitting takes at most
 SAMPLE = 1500
+#: lines of each label that fitting takes at most, unless the first document has more
+LINES = 250_000
 ROUNDS = 3
 STEPS = 80
 CHAIN = 48
@@ -120,15 +126,14 @@ class LineCrf:
     def __init__(self, weights: np.ndarray, bias: float, trans: np.ndarray, slope: float, shift: float):
         self.weights, self.bias, self.trans, self.slope, self.shift = weights, bias, trans, slope, shift
 
-    def good_shares(self, texts: list[bytes]) -> np.ndarray:
-        lev, lengths, counts = levels(texts)
+    def good_shares(self, lev: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
         bad, _ = _marginals(self.weights[_places(lev, counts)].sum(axis=1) + self.bias, self.trans, counts)
         return _good_share(bad, lengths, counts)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         if not texts:
             return np.empty(0)
-        return _curve(self.good_shares(texts), self.slope, self.shift)
+        return _curve(self.good_shares(*levels(texts)), self.slope, self.shift)
 
 
 def _logit(share: np.ndarray) -> np.ndarray:
@@ -140,14 +145,13 @@ def _curve(share: np.ndarray, slope: float, shift: float) -> np.ndarray:
     return 1 / (1 + np.exp(-(slope * _logit(share) + shift)))
 
 
-def fit(texts: list[bytes], good: np.ndarray, totals: tuple[float, float]) -> LineCrf:
-    """A model from whole labelled texts; totals: labelled documents of label 0 and 1 that the sample stands for."""
+def fit(lev: np.ndarray, lengths: np.ndarray, counts: np.ndarray, good: np.ndarray, totals: tuple[float, float]) -> LineCrf:
+    """A model from the levels() of whole labelled texts; totals: labelled documents of label 0 and 1 that the sample stands for."""
     size = PLACES * len(LEVELS) * WIDTH
     weights, bias, trans = np.zeros(size), 0.0, np.zeros((2, 2))
     rate = (totals[1] + 1) / (sum(totals) + 2)
-    if not len(texts) or good.all() or not good.any():
+    if not len(counts) or good.all() or not good.any():
         return LineCrf(weights, bias, trans, 0.0, math.log(rate / (1 - rate)))
-    lev, lengths, counts = levels(texts)
     places, doc = _places(lev, counts), np.repeat(np.arange(len(counts)), counts)
     y = (~good)[doc].astype(float)
     # while fitting, chains are cut every CHAIN lines, so that one long document does not set the number of steps
@@ -172,7 +176,7 @@ def fit(texts: list[bytes], good: np.ndarray, totals: tuple[float, float]) -> Li
         some = np.bincount(doc, agrees, len(counts)) > 0
         y = np.where(some[doc], agrees, ~good[doc]).astype(float)
     model = LineCrf(theta[:size], float(theta[size]), theta[size + 1 :].reshape(2, 2).copy(), 1.0, 0.0)
-    x = _logit(model.good_shares(texts))
+    x = _logit(model.good_shares(lev, lengths, counts))
     weight = np.where(good, totals[1] / good.sum(), totals[0] / (~good).sum())
     slope, shift = 1.0, 0.0
     for _ in range(50):  # Newton steps of the weighted logistic fit, the slope held positive
@@ -191,7 +195,8 @@ def held_out(id_col: str):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> LineCrf:
-    """Fit on documents that are labelled and not held out. Null ids and labels are left out; a document labelled both ways counts as 0."""
+    """Fit on documents that are labelled and not held out. Null ids and labels are left out; a document labelled both ways counts as 0.
+    Of texts that share an id, the one with the smallest xxhash64 counts."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(id_col).agg(F.min(label_col).alias("_good"))
     known = known.join(docs.select(id_col), id_col, "left_semi")
@@ -202,9 +207,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         picked = part if picked is None else picked.unionByName(part)
     # at most 2 * sample ids, so this side may be broadcast
     text = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_t"))
-    rows = text.join(F.broadcast(picked), id_col).dropDuplicates([id_col]).orderBy(F.md5(F.col(id_col).cast("string")), id_col).select("_t", "_good").collect()
-    good = np.array([r[1] > 0 for r in rows], bool)
-    return fit([bytes(r[0]) for r in rows], good, (float(totals.get(False, 0)), float(totals.get(True, 0))))
+    text = text.join(F.broadcast(picked), id_col).groupBy(id_col, "_good").agg(F.min(F.struct(F.xxhash64("_t").alias("h"), F.col("_t").alias("t")))["t"].alias("_t"))
+
+    def run(batches):
+        for batch in batches:
+            for i, t in enumerate(batch.column(2).to_pylist()):
+                lev, lengths, _ = levels([t])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([len(lev)], pa.int64()), pa.array([lev.astype(np.uint8).tobytes()], pa.binary()), pa.array([lengths.tobytes()], pa.binary())], names=["o", "good", "n", "lev", "lengths"])
+
+    label = "good " + picked.schema["_good"].dataType.simpleString()
+    rows = materialize(text.select(F.md5(F.col(id_col).cast("string")), "_good", "_t").mapInArrow(run, f"o string, {label}, n long, lev binary, lengths binary"), "quality-levels")
+    by = Window.partitionBy(F.col("good") > 0).orderBy("o")  # of at most 2 * sample rows
+    few = rows.withColumn("before", F.coalesce(F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))).where((F.col("before") <= LINES) | (F.col("before") == F.col("n")))
+    few = few.orderBy("o").drop("o", "before").collect()
+    good = np.array([r[0] > 0 for r in few], bool)
+    lev = np.concatenate([np.frombuffer(r[2], np.uint8).reshape(-1, len(LEVELS)) for r in few]).astype(np.int64) if few else np.empty((0, len(LEVELS)), np.int64)
+    lengths = np.concatenate([np.frombuffer(r[3], np.float64) for r in few]) if few else np.empty(0)
+    return fit(lev, lengths, np.array([r[1] for r in few], np.int64), good, (float(totals.get(False, 0)), float(totals.get(True, 0))))
 
 
 def score(docs: DataFrame, model: LineCrf, text_col: str = "text", out: str = "score") -> DataFrame:

@@ -37,6 +37,19 @@ def test_held_out_accuracy(spark):
     assert np.mean([p for _, p, q in pairs if q]) > 0.95 and np.mean([p for _, p, q in pairs if not q]) < 0.4
 
 
+def test_lines_taken_are_bounded_and_repeated_ids_defined(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ("plain words in a line\n" if i % 2 else "!!! ### BAD BAD\n") * 30) for i in range(1, 60)] + [(1, "another text of one")] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, quality int")
+    whole = quality.train(docs, labels)
+    assert np.allclose(whole.weights, quality.train(docs.repartition(5), labels).weights)
+    monkeypatch.setattr(quality, "LINES", 100)
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda lev, *a: seen.append(len(lev)) or fit(lev, *a))
+    quality.train(docs, labels)
+    assert 100 < seen[0] <= 200
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (None, "x", 0.5), (3, "Some plain words here.\n" * 20000, 0.5), (3, "THE!! THE!! " * 30, 0.5)], "doc_id long, text string, score double")
     labels = spark.createDataFrame([(1, 1), (3, 0), (3, 1), (None, 1), (2, None)], "doc_id long, quality int")
