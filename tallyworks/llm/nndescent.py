@@ -42,8 +42,8 @@ _PAIRS = "u long, w long, sim float"
 
 
 def beam_width(n: int) -> int:
-    """64 places for each doubling of the table beyond 2,500 nodes."""
-    return max(64, round(64 * math.log2(max(n, 1) / 2500))) if n else 64
+    """192 places for 10,000 nodes, and 48 more for each doubling."""
+    return max(64, round(192 + 48 * math.log2(max(n, 1) / 10_000)))
 
 
 def _pack(rows: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def search(nodes: DataFrame, packed: DataFrame, queries: DataFrame, beam: int, k
     around = materialize(around.groupBy("v").agg(F.collect_list(F.struct(F.col("m").alias("w"), "wq")).alias("ws")), "nn-around")
     mine = materialize(packed.join(queries.select("id"), "id", "left_semi").withColumnsRenamed({"id": "u", "q": "uq"}), "nn-queries")
     salts = 1 + mine.count() // meet
-    step = mine.select("u", F.col("u").alias("v"), F.lit(-math.inf).cast("float").alias("worst"))
+    step = mine.select("u", "uq", F.col("u").alias("v"), F.lit(-math.inf).cast("float").alias("worst"))
 
     def run(batches):
         for batch in batches:
@@ -221,7 +221,7 @@ def search(nodes: DataFrame, packed: DataFrame, queries: DataFrame, beam: int, k
 
     beams = None
     for _ in range(MOST_ROUNDS):
-        met = step.join(mine, "u").groupBy("v", F.pmod(F.xxhash64("u"), F.lit(salts)).alias("salt")).agg(F.collect_list(F.struct("u", "uq", "worst")).alias("us"))
+        met = step.groupBy("v", F.pmod(F.xxhash64("u"), F.lit(salts)).alias("salt")).agg(F.collect_list(F.struct("u", "uq", "worst")).alias("us"))
         pairs = met.join(around, "v").select("us", "ws").mapInArrow(run, _PAIRS).withColumn("fresh", F.lit(True))
         last = beams
         with batches_of(packed.sparkSession, 1024):
@@ -230,7 +230,8 @@ def search(nodes: DataFrame, packed: DataFrame, queries: DataFrame, beam: int, k
             drop_tables(last)
         if _news(beams) < DELTA:
             break
-        step = beams.select("u", "worst", F.inline("near")).where("fresh").select("u", F.col("w").alias("v"), "worst")
+        fresh = F.transform(F.filter("near", lambda x: x["fresh"]), lambda x: x["w"])
+        step = beams.join(mine, "u").select("u", "uq", "worst", F.explode(fresh).alias("v"))
     drop_tables(around, mine)
     return beams
 
