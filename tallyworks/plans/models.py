@@ -109,42 +109,57 @@ def int_coach_assignment_matches(c):
     return a.withColumns({"has_conflict": F.coalesce(C("lo") != C("hi"), F.lit(False)), "is_red": F.coalesce(ok & C("is_open") & (C("ampel") == "red"), F.lit(False))}).drop("_e", "latest", "lo", "hi")
 
 
+def named(df: DataFrame, **names: str):
+    """Columns of a mart by the names of the curated ones; what an input does not carry is left out."""
+    return df.select(*[C(old).alias(new) for new, old in names.items() if old in df.columns])
+
+
 @model
 def dim_trainings(c):
-    return good(c["trainings"]).select("training_id", "training_name")
+    return named(good(c["trainings"]), training_id="training_id", training_name="training_name", track="track", variant="variant_clean", duration_weeks="weeks", list_price_eur="price_eur", is_active="active", has_consistent_modules="has_consistent_modules", validation_status="validation_status", quality_flags="quality_flags", snapshot_date="_snapshot_date")
 
 
 @model
 def dim_training_modules(c):
-    return c["modules"].select("training_id", "module_id").distinct()
+    return named(c["modules"].dropDuplicates(["training_id", "module_id"]), training_id="training_id", module_id="module_id", module_order="module_order", module_name="module_name", estimated_hours="estimated_hours")
 
 
 @model
 def dim_participants(c):
-    return good(c["participants"]).select("participant_id", "state", C("funding").alias("funding_type"))
+    """Without e-mail address and birth date."""
+    df = good(c["participants"]).withColumn("_twice", C("canonical_participant_id") != C("participant_id"))
+    return named(df, participant_id="participant_id", canonical_participant_id="canonical_participant_id", has_duplicate_identity="_twice", first_name="first_name_clean", last_name="last_name_clean", city="city_clean", federal_state="state", funding_type="funding", acquisition_channel="channel", modified_at_utc="modified_at_utc", validation_status="validation_status", quality_flags="quality_flags", snapshot_date="_snapshot_date")
 
 
 @model
 def fct_enrollments(c):
-    df = good(c["enrollments"]).select("enrollment_id", "participant_id", "training_id", "status_clean", "cohort_start", "planned_end")
-    out = df.join(c["dim_participants"].select("participant_id", "funding_type"), "participant_id", "left")
-    return out.withColumn("funding_type", F.coalesce("funding_type", F.lit("unknown")))
+    df = good(c["enrollments"]).withColumns({"_days": dates.days_between(C("cohort_start"), C("planned_end")), "_open": C("status_clean").isin(*OPEN_STATUSES)})
+    df = named(df, enrollment_id="enrollment_id", participant_id="participant_id", training_id="training_id", cohort_start_date="cohort_start", planned_end_date="planned_end", planned_duration_days="_days", status="status_clean", is_open_status="_open", status_changed_at_utc="changed_at_utc", created_at_utc="created_at_utc", modified_at_utc="modified_at_utc", has_participant_reference="has_participant", has_training_reference="has_training", validation_status="validation_status", quality_flags="quality_flags", snapshot_date="_snapshot_date")
+    out = df.join(c["dim_participants"].select("participant_id", "funding_type", F.lit(True).alias("is_participant_in_dim")), "participant_id", "left")
+    return out.withColumns({"funding_type": F.coalesce("funding_type", F.lit("unknown")), "is_participant_in_dim": F.coalesce("is_participant_in_dim", F.lit(False))})
 
 
 @model
 def fct_enrollment_progress(c):
-    return c["int_enrollment_time_progress"]
+    df = c["int_enrollment_time_progress"].withColumn("_active", C("status_clean") == "aktiv")
+    return named(df, enrollment_id="enrollment_id", training_id="training_id", status="status_clean", is_active="_active", completed_module_count="completed_module_count", total_module_count="total_module_count", completed_module_share="completed_module_share", elapsed_days="elapsed_days", planned_duration_days="planned_days", time_progress_share="time_share", time_progress_quality_flag="time_flag", progress_gap="progress_gap", is_behind_schedule="is_behind_schedule", progress_event_count="event_count", last_event_at_utc="last_event", reporting_date="reporting_date")
 
 
 @model
 def fct_progress_events(c):
-    return good(c["events"]).select("event_id", "enrollment_id", "module_id", "event_kind", "event_at_utc")
+    df = good(c["events"])
+    if {"module_training", "enrolled_training"} <= {*df.columns}:
+        df = df.withColumns({"_e": C("enrolled_training").isNotNull(), "_m": C("module_training").isNotNull(), "_own": C("module_training") == C("enrolled_training")})
+    return named(df, event_id="event_id", enrollment_id="enrollment_id", module_id="module_id", event_type="event_kind", event_at_utc="event_at_utc", has_enrollment_reference="_e", has_module_reference="_m", is_module_in_enrollment_training="_own", validation_status="validation_status", quality_flags="quality_flags", snapshot_date="_snapshot_date")
 
 
 @model
 def fct_survey_responses(c):
-    df = good(c["responses"]).select("response_id", "enrollment_id", "question", "score", "week", "submitted_at_utc")
-    return flag_present(df, good(c["enrollments"]), {"enrollment_id": "enrollment_id"}, "has_enrollment")
+    """One row per response; free text is not passed on."""
+    df = good(c["responses"]).withColumn("_nps", F.when(C("question") == "nps", numbers.nps_group(C("score"))))
+    df = named(df, response_id="response_id", enrollment_id="enrollment_id", survey_type="survey_kind", survey_week="week", question_key="question", answer_score="score", nps_category="_nps", submitted_at_utc="submitted_at_utc", is_answer_valid="is_answer_valid", is_survey_week_valid="is_survey_week_valid", has_enrollment_reference="has_enrollment", validation_status="validation_status", quality_flags="quality_flags", snapshot_date="_snapshot_date")
+    e = good(c["enrollments"]).select(C("enrollment_id").alias("_e"), "training_id")
+    return df.join(e, C("enrollment_id") == C("_e"), "left").withColumn("is_enrollment_in_fact", C("_e").isNotNull()).drop("_e")
 
 
 @model
@@ -152,11 +167,15 @@ def fct_coach_assignments(c):
     return c["int_coach_assignment_matches"]
 
 
+def training_names(c: Context) -> DataFrame:
+    return c["dim_trainings"].select("training_id", "training_name")
+
+
 @model
 def rpt_active_enrollments_by_training(c):
     per = c["int_active_enrollments"].groupBy("training_id").agg(n(name="active_enrollment_count"), n(F.count_if("changed_after"), "status_changed_after_cutoff_count"), n(F.count_if("past_end"), "past_planned_end_count"), n(F.count_if("starts_after"), "cohort_start_after_cutoff_count"))
     counts = [x for x in per.columns if x != "training_id"]
-    out = c["dim_trainings"].join(per, "training_id", "left").withColumns({x: F.coalesce(x, F.lit(0).cast("bigint")) for x in counts})
+    out = training_names(c).join(per, "training_id", "left").withColumns({x: F.coalesce(x, F.lit(0).cast("bigint")) for x in counts})
     flag = lambda x, name: F.when(C(x) > 0, name)
     return out.withColumns({"reporting_date": c.cutoff, "data_quality_flags": F.array_compact(F.array(F.lit("current_status_used_no_status_history"), flag("status_changed_after_cutoff_count", "status_changed_after_cutoff"), flag("past_planned_end_count", "active_past_planned_end"), flag("cohort_start_after_cutoff_count", "cohort_start_after_cutoff")))})
 
@@ -166,13 +185,13 @@ def rpt_completion_abandonment_by_training_funding(c):
     per = c["int_completed_enrollments"].groupBy("training_id", "funding_type").agg(n(name="eligible_enrollment_count"), n(F.count_if("completed"), "completed_count"), n(F.count_if("abandoned"), "abandoned_count"), n(F.count_if("other"), "other_status_count"), n(F.count_if("missing_participant"), "missing_participant_count"))
     names = {"completed_share": "completed_count", "abandoned_share": "abandoned_count", "other_status_share": "other_status_count"}
     out = per.withColumns({k: numbers.share(C(v), C("eligible_enrollment_count")) for k, v in names.items()})
-    return out.join(c["dim_trainings"], "training_id", "left").withColumn("reporting_date", c.cutoff)
+    return out.join(training_names(c), "training_id", "left").withColumn("reporting_date", c.cutoff)
 
 
 @model
 def rpt_progress_vs_time(c):
-    df = c["fct_enrollment_progress"].where("status_clean = 'aktiv'").join(c["dim_trainings"], "training_id", "left")
-    return df.select("enrollment_id", "training_id", "training_name", "completed_module_count", "total_module_count", "completed_module_share", "elapsed_days", C("planned_days").alias("planned_duration_days"), C("time_share").alias("time_progress_share"), C("time_flag").alias("time_progress_quality_flag"), "progress_gap", "is_behind_schedule", "reporting_date")
+    df = c["fct_enrollment_progress"].where("is_active").join(training_names(c), "training_id", "left")
+    return df.select("enrollment_id", "training_id", "training_name", "completed_module_count", "total_module_count", "completed_module_share", "elapsed_days", "planned_duration_days", "time_progress_share", "time_progress_quality_flag", "progress_gap", "is_behind_schedule", "reporting_date")
 
 
 @model
@@ -185,7 +204,7 @@ def rpt_progress_vs_time_summary(c):
 
 @model
 def rpt_nps_by_training_quarter(c):
-    return c["int_feedback_nps"].join(c["dim_trainings"], "training_id").withColumn("reporting_date", c.cutoff)
+    return c["int_feedback_nps"].join(training_names(c), "training_id").withColumn("reporting_date", c.cutoff)
 
 
 @model

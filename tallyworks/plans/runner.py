@@ -18,6 +18,8 @@ from ..sources import extract, workbook
 from ..sources.export import export
 from ..sources.lake import Lake
 from . import coach, curation, models
+from .analyses import ANALYSES
+from .assertions import broken
 
 C = F.col
 SHEET = "Betreuung"
@@ -45,14 +47,6 @@ MODULES = "array<struct<module_id string, module_order int, module_name string,
 LOG = "snapshot_date string, dataset string, run_id string, status string, load_mode string, watermark string, fingerprint string, records_fetched bigint, row_count bigint, error string"
 RUNS = "run_id string, snapshot_date string, layer string, status string, started_at string, finished_at string, error string"
 CURATED = "snapshot_date string, dataset string, curated_from string, row_count bigint"
-TITLES = {
-    "rpt_active_enrollments_by_training": "Q1 - Active enrollments per training",
-    "rpt_completion_abandonment_by_training_funding": "Q2 - Completion and abandonment by training and funding type",
-    "rpt_progress_vs_time_summary": "Q3 - Curriculum progress versus elapsed time",
-    "rpt_nps_by_training_quarter": "Q4 - NPS per training and quarter",
-    "rpt_coach_utilization": "Q5 - Coach utilization",
-    "rpt_coach_unassigned_enrollments": "Q5 - Open enrollments without a coach",
-}
 
 
 @dataclass
@@ -196,7 +190,9 @@ class Run:
                 self.curate()
             if layer in ("reports", "all") and out and not failed:
                 context = self.models()
-                export({name: (title, context[name]) for name, title in TITLES.items()}, out)
+                if found := broken(context):
+                    raise ValueError(f"assertions broken by rows: {found}")
+                export({name: (title, table(context)) for name, (title, table) in ANALYSES.items()}, out)
         except Exception as e:  # noqa: BLE001 - logged and told by the exit code
             self.note("meta_runs", RUNS, [row | {"status": "FAILED", "finished_at": now(), "error": f"{type(e).__name__}: {e}"}], ["run_id"])
             return 1

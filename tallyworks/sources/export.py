@@ -26,12 +26,12 @@ def markdown(columns: list[str], rows: list[list[str]]) -> str:
 
 
 def export(reports: dict[str, tuple[str, DataFrame]], out: str) -> None:
-    """One CSV a report (title and frame by name) and results.md with all of them. Rows come in the order of their texts."""
+    """One CSV a report (title and frame by name) and results.md with all of them. Rows keep the frames' order."""
     to = Path(out)
     to.mkdir(parents=True, exist_ok=True)
     parts = ["# Results"]
     for name, (title, df) in reports.items():
-        rows = sorted([render(v) for v in r] for r in df.toLocalIterator())
+        rows = [[render(v) for v in r] for r in df.toLocalIterator()]
         with (to / f"{name}.csv").open("w", newline="", encoding="utf-8") as f:
             csv.writer(f).writerows([df.columns, *rows])
         parts += [f"## {title}", markdown(df.columns, rows)]
