@@ -29,5 +29,6 @@ def least_by_length(x: Column) -> Column:
 
 
 def table_checksum(df: DataFrame) -> Column:
-    """Aggregate: independent of row order."""
-    return F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))
+    """Aggregate: independent of row order. The sum of 60 bits of each row's MD5, of its values as text in the order of column names."""
+    row = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<null>")) for c in sorted(df.columns)])
+    return F.sum(F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)"))

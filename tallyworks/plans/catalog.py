@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, ids, numbers, text
+from ..functions import categories, dates, ids, numbers, text
 from ..operators import checks, match, rows
 from ..sources.tables import table as T
 
@@ -257,6 +257,28 @@ def title_case(spark, d):
     return s.select("s_suppkey", text.person_name(F.lit("  anna-lena  VON o'neil ")).alias("a"), text.person_name(C("s_name")).alias("b"))
 
 
+@query("SELECT p_partkey, CAST(p_partkey * 1000 + p_size AS DOUBLE) AS grouped, CAST(-p_size AS DOUBLE) / 8 AS plain, CAST(NULL AS DOUBLE) AS odd FROM part")
+def grouped_numbers(spark, d):
+    read = lambda x: numbers.parse_decimal(x).cast("double")
+    number = F.translate(F.format_number(C("p_partkey") * 1000 + C("p_size"), 0), ",", ".")
+    eighth = (-C("p_size") / 8).cast("decimal(9,3)").cast("string")
+    return T(spark, d, "part").select("p_partkey", read(number).alias("grouped"), read(F.when(C("p_size") % 2 == 0, eighth).otherwise(F.translate(eighth, ".", ","))).alias("plain"), read(F.concat(F.lit("+"), number)).alias("odd"))
+
+
+@query("""SELECT n_nationkey, upper(lower(n_name)[1]) || lower(n_name)[2:] || ' am Main' AS city, 'Am ' || upper(lower(n_name)[1]) || lower(n_name)[2:] AS first_word, 'Van Der ' || upper(lower(n_name)[1]) || lower(n_name)[2:] AS person
+ FROM (SELECT n_nationkey, regexp_replace(n_name, '[^A-Za-z0-9]', '', 'g') AS n_name FROM nation)""")
+def city_and_person_names(spark, d):
+    name = F.lower(F.regexp_replace("n_name", "[^A-Za-z0-9]", ""))
+    return T(spark, d, "nation").select("n_nationkey", text.city_name(F.concat(F.lit("  "), name, F.lit(" AM  main "))).alias("city"), text.city_name(F.concat(F.lit("am "), name)).alias("first_word"), text.person_name(F.concat(F.lit("van der "), F.upper(name))).alias("person"))
+
+
+@query(f"""SELECT n_nationkey, {list(categories.STATES)}[CAST(n_nationkey % 16 AS INT) + 1] AS state, CASE n_nationkey % 4 WHEN 0 THEN 'green' WHEN 1 THEN 'yellow' WHEN 2 THEN 'red' END AS light,
+ CASE n_nationkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS answer FROM nation""")
+def vocabularies(spark, d):
+    pick = lambda *values: F.element_at(F.array(*map(F.lit, values)), (C("n_nationkey") % len(values) + 1).cast("int"))
+    return T(spark, d, "nation").select("n_nationkey", categories.federal_state(F.upper(pick(*categories.STATES))).alias("state"), categories.traffic_light(pick("GRÜN!", " gelb", "r", "y")).alias("light"), categories.parse_boolean(pick(" Ja", "0", "vielleicht")).alias("answer"))
+
+
 @query("SELECT p_partkey, CAST(CAST(round(CAST(p_retailprice AS DECIMAL(14,2)) * 1000, 2) AS DECIMAL(12,2)) AS DOUBLE) AS price FROM part")
 def german_number_roundtrip(spark, d):
     cents = (C("p_retailprice").cast("decimal(14,2)") * 1000).cast("decimal(14,2)")
@@ -371,6 +393,7 @@ def unpivot_measures(spark, d):
     return progress_summary_union(spark, d).unpivot("seg", ["behind_share", "average_share"], "measure", "value").where("value is not null")
 
 
-@query(None)
+@query("""SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', coalesce(CAST(o_custkey AS VARCHAR), '<null>'), coalesce(CAST(o_orderdate AS VARCHAR), '<null>'), coalesce(CAST(o_orderkey AS VARCHAR), '<null>'),
+ coalesce(o_orderpriority, '<null>'), coalesce(o_orderstatus, '<null>'), coalesce(CAST(o_totalprice AS VARCHAR), '<null>'))), 1, 15) AS UBIGINT)) AS VARCHAR) AS checksum FROM orders""")
 def table_checksum(spark, d):
     return T(spark, d, "orders").agg(n(name="row_count"), ids.table_checksum(T(spark, d, "orders")).cast("string").alias("checksum"))
