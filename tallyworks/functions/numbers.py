@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import is_missing, trim_text
+from .text import once, trim_text
 
 
 def parse_decimal(x: Column, precision: int = 18, scale: int = 6) -> Column:
     """1.234,56, 1.234 and 3,5 (German), 12.5 and -7 (plain); anything else null. Points before three digits each group thousands."""
-    t = F.replace(trim_text(x), F.lit(" "), F.lit(""))
-    grouped = t.rlike(r"^\d{1,3}(\.\d{3})+(,\d+)?$")
-    t = F.replace(F.when(grouped, F.replace(t, F.lit("."), F.lit(""))).otherwise(t), F.lit(","), F.lit("."))
-    return F.when(t.rlike(r"^-?\d+(\.\d+)?$"), t).try_cast(f"decimal({precision},{scale})")
+
+    def plain(t: Column) -> Column:
+        grouped = t.rlike(r"^\d{1,3}(\.\d{3})+(,\d+)?$")
+        return F.replace(F.when(grouped, F.replace(t, F.lit("."), F.lit(""))).otherwise(t), F.lit(","), F.lit("."))
+
+    read = once(F.replace(trim_text(x), F.lit(" "), F.lit("")), lambda t: once(plain(t), lambda p: F.when(p.rlike(r"^-?\d+(\.\d+)?$"), p)))
+    return read.try_cast(f"decimal({precision},{scale})")
 
 
 def money(x: Column) -> Column:
@@ -30,13 +33,20 @@ def whole_number(x: Column) -> Column:
 
 def parse_answer(x: Column) -> Column:
     """struct(score, scale, kind) of "4" (kind number), "7/10" (kind ratio, scale 10), a missing answer, or other text."""
-    t = trim_text(x)
     ratio = r"^(-?\d+(?:[.,]\d+)?)\s*/\s*(\d+(?:[.,]\d+)?)$"
-    top, bottom = F.regexp_extract(t, ratio, 1), F.regexp_extract(t, ratio, 2)
-    plain = parse_decimal(t)
-    kind = F.when(is_missing(x), "missing").when(t.rlike(ratio), "ratio").when(plain.isNotNull(), "number").otherwise("text")
-    score = F.when(kind == "ratio", parse_decimal(top)).when(kind == "number", plain)
-    return F.struct(F.round(score, 2).try_cast("decimal(5,2)").alias("score"), F.when(kind == "ratio", parse_decimal(bottom, 18, 3)).alias("scale"), kind.alias("kind"))
+
+    def read(t: Column) -> Column:
+        part = lambda i: F.regexp_extract(t, ratio, i)
+        split = t.rlike(ratio)
+        return F.struct(t.alias("t"), split.alias("split"), parse_decimal(F.when(split, part(1)).otherwise(t)).alias("score"), F.when(split, part(2)).alias("bottom"))
+
+    return once(once(trim_text(x), read), _answer)
+
+
+def _answer(a: Column) -> Column:
+    kind = F.when(a["t"].isNull(), "missing").when(a["split"], "ratio").when(a["score"].isNotNull(), "number").otherwise("text")
+    score, bottom = a["score"], a["bottom"]
+    return F.struct(F.round(score, 2).try_cast("decimal(5,2)").alias("score"), parse_decimal(bottom, 18, 3).alias("scale"), kind.alias("kind"))
 
 
 def nps_group(score: Column) -> Column:

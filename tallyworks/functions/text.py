@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,23 +29,26 @@ def _pairs() -> tuple[str, str]:
 _FROM, _TO = _pairs()
 
 
-def _trimmed(x: Column) -> Column:
-    out = F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
-    return F.when(F.length(out) > 0, out)
+_MISSING = rf"(?iU)^\s*({'|'.join(map(re.escape, MISSING))})\s*$"
+
+
+def once(x: Column, use: Callable[[Column], Column]) -> Column:
+    """use(x) with x computed once a row however often use refers to it; else the text of an expression grows with each reference."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
 
 
 def is_missing(x: Column) -> Column:
-    return F.coalesce(F.lower(_trimmed(x)).isin(*MISSING), F.lit(True))
+    return F.coalesce(F.rlike(x, F.lit(_MISSING)), F.lit(True))
 
 
 def trim_text(x: Column) -> Column:
     """White space of any script at the edges goes; nothing left, or a missing marker, is null."""
-    return F.when(~is_missing(x), _trimmed(x))
+    return F.when(~is_missing(x), F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
 
 
 def clean_text(x: Column) -> Column:
     """Edges trimmed, inner white space one space, missing markers null."""
-    return F.when(~is_missing(x), _trimmed(F.regexp_replace(x, r"(?U)\s+", " ")))
+    return F.when(~is_missing(x), F.btrim(F.regexp_replace(x, r"(?U)\s+", " ")))
 
 
 def transliterate(x: Column) -> Column:
