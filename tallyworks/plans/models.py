@@ -27,12 +27,15 @@ class Context:
     inputs: dict[str, DataFrame]
     reporting_date: str
     built: dict[str, DataFrame] = field(default_factory=dict)
+    #: stores a model under its name and gives it back, so that what builds on it does not build it again
+    store: Callable[[str, DataFrame], DataFrame] | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.inputs:
             return self.inputs[name]
         if name not in self.built:
-            self.built[name] = MODELS[name](self)
+            made = MODELS[name](self)
+            self.built[name] = self.store(name, made) if self.store else made
         return self.built[name]
 
     @property

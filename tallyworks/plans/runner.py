@@ -166,8 +166,13 @@ class Run:
         self.note("meta_curation_log", CURATED, [{"snapshot_date": d, "dataset": n, "curated_from": come[n, d], "row_count": counts[f"{n}@{d}"]} for n, d in todo], ["snapshot_date", "dataset"])
         return counts
 
-    def models(self) -> models.Context:
-        """The models over the newest curated version of each row; workbook rows stay one a day."""
+    def models(self, folder: str | None = None) -> models.Context:
+        """The models over the newest curated version of each row; workbook rows stay one a day. With a folder, inputs and models
+        are written there, each once."""
+
+        def store(name: str, df: DataFrame) -> DataFrame:
+            df.write.parquet(f"{folder}/{name}")
+            return self.spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
         def stage(name: str) -> DataFrame:
             d = DATASETS[name]
@@ -177,7 +182,9 @@ class Run:
 
         catalog = stage("trainings")
         inputs = {"trainings": catalog, "modules": curation.modules(catalog), "participants": stage("participants"), "enrollments": stage("enrollments"), "events": stage("progress_events"), "responses": stage("survey_responses"), "assignments": stage("coach_rows")}
-        return models.Context(inputs, self.as_of)
+        if folder:
+            inputs = {name: store(f"in_{name}", df) for name, df in inputs.items()}
+        return models.Context(inputs, self.as_of, store=store if folder else None)
 
     def run(self, layer: str, client=None, book: str | None = None, out: str | None = None) -> int:
         """Exit code: 0 all went well, 1 the run failed, 2 some datasets failed and the rest is loaded (no reports then)."""
@@ -189,10 +196,11 @@ class Run:
             if layer in ("curated", "all"):
                 self.curate()
             if layer in ("reports", "all") and out and not failed:
-                context = self.models()
-                if found := broken(context):
-                    raise ValueError(f"assertions broken by rows: {found}")
-                export({name: (title, table(context)) for name, (title, table) in ANALYSES.items()}, out)
+                with self.lake.scratch() as folder:
+                    context = self.models(folder)
+                    if found := broken(context):
+                        raise ValueError(f"assertions broken by rows: {found}")
+                    export({name: (title, table(context)) for name, (title, table) in ANALYSES.items()}, out)
         except Exception as e:  # noqa: BLE001 - logged and told by the exit code
             self.note("meta_runs", RUNS, [row | {"status": "FAILED", "finished_at": now(), "error": f"{type(e).__name__}: {e}"}], ["run_id"])
             return 1
