@@ -4,6 +4,7 @@ Two such sets share a shingle among the n - ceil(0.8 n) + 1 of each that come fi
 shingles that are common in a sample of the texts last; the sample decides how much work there is, never what is found. Texts
 that share one of those shingles are compared by the parities of their shingles' counts in BITS buckets: differing parities
 are at most the shingles in which the sets differ, which are at most a ninth of both sizes, so the filter drops no pair either.
+Of texts with more than LONG shingles, which fill those buckets, pairs that are left meet WIDE buckets before any text is sent.
 
 What passes is compared shingle by shingle, in two rounds. Of each group of texts that share a shingle, the first round takes a
 spanning forest only, so that a large group of near copies gives no pairs by the square; the second takes all pairs that are
@@ -25,6 +26,7 @@ from .simhash import SEED, _settle, _signed, fingerprint
 
 WORDS = 5
 BITS = 1024
+LONG, WIDE = 1024, 16_384
 #: texts from which common shingles are learnt, and how many of those are kept
 SAMPLE, COMMON = 4_096, 65_536
 #: rows of texts in one Arrow batch
@@ -64,7 +66,8 @@ def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """(node, fp, n, bits, first) of texts (node, text): fingerprint, number of shingles, parities, hashes of the first shingles."""
+    """(node, fp, n, bits, wide, first) of texts (node, text): fingerprint, number of shingles, parities in BITS and, of long texts,
+    in WIDE buckets, hashes of the first shingles."""
     common, counts = _common(texts)
 
     def one(text):
@@ -72,16 +75,16 @@ def signatures(texts: DataFrame) -> DataFrame:
         at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
         often = np.where(common[at] == h, counts[at], 0) if len(common) else np.zeros(len(h), np.int64)
         first = h[np.lexsort((h, often))][: len(h) - (4 * len(h) + 4) // 5 + 1] if len(h) else h
-        parity = (np.bincount(h & (BITS - 1), minlength=BITS) & 1).astype(np.uint8)
-        return _signed(fingerprint(text)), len(h), np.packbits(parity).tobytes(), first
+        parity = lambda size: np.packbits((np.bincount(h & (size - 1), minlength=size) & 1).astype(np.uint8)).tobytes()
+        return _signed(fingerprint(text)), len(h), parity(BITS), parity(WIDE) if len(h) > LONG else None, first
 
     def run(batches):
         for batch in batches:
-            fp, n, bits, first = zip(*map(one, batch.column(1).to_pylist()), strict=True) if batch.num_rows else ((), (), (), ())
-            columns = [batch.column(0), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(first, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "fp", "n", "bits", "first"])
+            fp, n, bits, wide, first = zip(*map(one, batch.column(1).to_pylist()), strict=True) if batch.num_rows else ((), (), (), (), ())
+            columns = [batch.column(0), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(wide, pa.binary()), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "fp", "n", "bits", "wide", "first"])
 
-    return texts.select("node", F.col("text").cast("binary")).mapInArrow(run, "node long, fp long, n long, bits binary, first array<long>")
+    return texts.select("node", F.col("text").cast("binary")).mapInArrow(run, "node long, fp long, n long, bits binary, wide binary, first array<long>")
 
 
 def _group_pairs(label: np.ndarray, n: np.ndarray, bits: np.ndarray, forest: bool):
@@ -146,8 +149,32 @@ def _pairs(members: DataFrame, forest: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _apart(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(a, b): the pairs of long texts whose WIDE parities differ too often."""
+
+    def run(batches):
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, WIDE // 64) for k in (4, 5))
+            far = pa.array(9 * np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64) > n)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(far), batch.column(1).filter(far)], names=["a", "b"])
+
+    side = lambda k: sigs.where("wide is not null").select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("wide").alias(f"w{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "wa", "wb")
+    with batches_of(pairs.sparkSession, 8 * ROWS):
+        return materialize(both.mapInArrow(run, "a long, b long"), "shingles-apart")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(a, b, near, fa, fb): pairs compared shingle by shingle, and their fingerprints."""
+    """(a, b, near, fa, fb): pairs compared shingle by shingle, and the fingerprints of those that were."""
+    apart = _apart(pairs, sigs)
+    none = F.lit(None).cast("long")
+    far = apart.select("a", "b", none.alias("fa"), none.alias("fb"), F.lit(False).alias("near"))
+    return _compared(pairs.join(apart, ["a", "b"], "left_anti"), texts, sigs).unionByName(far)
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(a, b, near, fa, fb) by the texts themselves."""
 
     def run(batches):
         for batch in batches:

@@ -77,3 +77,32 @@ def test_stage_tells_texts_of_one_id_apart(spark):
     docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted([(1, a), (7, b), (0, a), (0, b), (4, ""), (4, "")])
+
+
+def test_long_texts(spark):
+    """Texts that fill the narrow buckets, near and not, all sharing a passage."""
+    rng = random.Random(4)
+    shared = [f"s{i}" for i in range(300)]
+    texts = []
+    for k in range(12):
+        words = shared + [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+        texts.append(" ".join(words))
+        if k % 3 == 0:
+            for share in (0.005, 0.02, 0.05):
+                other = [w if rng.random() > share else "x" + w for w in words]
+                texts.append(" ".join(other))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = {shingles._signed(simhash.fingerprint(t.encode())): i for i, t in enumerate(texts)}
+    sets = [shingles.shingles(t.encode()) for t in texts]
+    want = {frozenset((i, j)) for i in range(len(texts)) for j in range(i) if shingles.near(sets[i], sets[j])}
+    got = {frozenset((nodes[r.a], nodes[r.b])) for r in shingles.near_links(df).collect()}
+    assert want and got <= want and plain(got) == plain(want)
+
+
+def plain(pairs):
+    """The groups that the pairs join."""
+    groups = []
+    for pair in pairs:
+        met = [g for g in groups if g & pair]
+        groups = [g for g in groups if not g & pair] + [set(pair).union(*met)]
+    return {frozenset(g) for g in groups}
