@@ -1,6 +1,6 @@
 """The subpackage's queries and, where SQL can express them, their oracles."""
 
-from . import html_text, linedup, mixing, nndescent, packing, pii, quality, simhash, substrings, vamana
+from . import divergence, html_text, linedup, mixing, nndescent, packing, pii, prefix_trie, quality, simhash, substrings, vamana
 
 QUERIES = {
     "op1_vamana": vamana.op1_vamana,
@@ -13,10 +13,14 @@ QUERIES = {
     "op8_line_dedup": linedup.op8_line_dedup,
     "op9_quality": quality.op9_quality,
     "op10_pii": pii.op10_pii,
+    "op12_divergence": divergence.op12_divergence,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 SQL = {
     "op1_vamana": vamana.OP1_SQL,
     "op4_substrings": substrings.OP4_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op8_line_dedup": linedup.OP8_SQL,
+    "op12_divergence": divergence.OP12_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
 }
