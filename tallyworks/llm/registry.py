@@ -1,6 +1,6 @@
 """The subpackage's queries and, where SQL can express them, their oracles."""
 
-from . import divergence, html_text, linedup, mixing, nndescent, packing, pii, prefix_trie, quality, simhash, substrings, vamana
+from . import divergence, html_text, linedup, mixing, nndescent, packing, pii, prefix_trie, quality, secret_scan, simhash, substrings, vamana
 
 QUERIES = {
     "op1_vamana": vamana.op1_vamana,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_line_dedup": linedup.op8_line_dedup,
     "op9_quality": quality.op9_quality,
     "op10_pii": pii.op10_pii,
+    "op11_secrets": secret_scan.op11_secrets,
     "op12_divergence": divergence.op12_divergence,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
