@@ -16,14 +16,14 @@ def parse_iso_date(x: Column) -> Column:
 
 
 def parse_flexible_date(x: Column, month_year: bool = False) -> Column:
-    """ISO dates, the date of ISO timestamps, D.M.YYYY and D.M.YY; with month_year also M/YYYY and M/YY, as the first day."""
+    """ISO dates, the date of ISO timestamps without an offset, D.M.YYYY and D.M.YY; with month_year also M/YYYY and M/YY, as the first day."""
     t = trim_text(x)
     german = F.when(t.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"), F.try_to_date(t, "d.M.yyyy")).when(t.rlike(r"^\d{1,2}\.\d{1,2}\.\d{2}$"), F.try_to_date(F.regexp_replace(t, r"\.(\d{2})$", ".20$1"), "d.M.yyyy"))
     if month_year:
         day = F.concat(F.lit("1/"), t)
         german = F.coalesce(german, F.when(t.rlike(r"^\d{1,2}/\d{4}$"), F.try_to_date(day, "d/M/yyyy")).when(t.rlike(r"^\d{1,2}/\d{2}$"), F.try_to_date(F.regexp_replace(day, r"/(\d{2})$", "/20$1"), "d/M/yyyy")))
     plausible = F.when(F.year(german).between(FIRST_YEAR, LAST_YEAR), german)
-    stamp = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), parse_iso_date(F.substring(t, 1, 10)))
+    stamp = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"), parse_iso_date(F.substring(t, 1, 10)))
     return F.coalesce(parse_iso_date(t), stamp, plausible)
 
 

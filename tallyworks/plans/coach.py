@@ -6,8 +6,12 @@ people share multiplies rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import dates, text
 from ..functions.categories import traffic_light
@@ -18,6 +22,8 @@ from .curation import finish, issue
 C = F.col
 REQUIRED = ("Teilnehmer*in", "E-Mail", "Training", "Kohorte", "Coach")
 FIELDS = (*REQUIRED, "Ampel", "Letzter Kontakt", "Notizen")
+#: candidates of an ambiguous row that are listed; all are counted
+CANDIDATES = 20
 
 
 def _look_up(rows: DataFrame, known: DataFrame, name: str, left: list[str], right: list[str], value: str) -> DataFrame:
@@ -28,6 +34,20 @@ def _look_up(rows: DataFrame, known: DataFrame, name: str, left: list[str], righ
     return out.withColumn(f"{name}_n", F.coalesce(f"{name}_n", F.lit(0).cast("bigint")))
 
 
+def _shown(rows: DataFrame, known: DataFrame, name: str, left: list[str], right: list[str], value: str) -> DataFrame:
+    """rows with {name}_ids, the CANDIDATES smallest different values that known holds under the row's keys; null where it holds one or none.
+
+    The rank cuts each task's share of a key before the shuffle, so that a key that many share stays as small as any.
+    """
+    keys = [C(r).alias(f"_{name}_{r}") for r in right]
+    each = known.select(*keys, C(value).alias("_v")).where(reduce(and_, [C(f"_{name}_{r}").isNotNull() for r in right]) & C("_v").isNotNull()).distinct()
+    by = [f"_{name}_{r}" for r in right]
+    least = each.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_v"))).where(C("_r") <= CANDIDATES)
+    lists = least.groupBy(*by).agg(F.sort_array(F.collect_list("_v")).alias(f"{name}_ids"))
+    on = [C(a) == C(b) for a, b in zip(left, by, strict=True)]
+    return rows.join(lists.where(F.size(f"{name}_ids") > 1), on, "left").drop(*by)
+
+
 def match_people(rows: DataFrame, people: DataFrame, enrolled: DataFrame) -> DataFrame:
     """rows (email_match_key, name_match_key, training_id, cohort_start_date) with the match, one row each.
 
@@ -42,9 +62,14 @@ def match_people(rows: DataFrame, people: DataFrame, enrolled: DataFrame) -> Dat
     out = out.withColumn("_pid", F.when(C("mail_n") == 1, C("mail_id")))
     out = _look_up(out, e, "any", ["_pid"], ["e_pid"], "eid")
     mail, by_name = ["email_match_key"], ["name_match_key"]
+    for name, left, right in (("mail", ["email_match_key"], ["p_email"]), ("name", ["name_match_key"], ["p_name"]), ("both", ["email_match_key", "name_match_key"], ["p_email", "p_name"])):
+        out = _shown(out, people, name, left, right, "pid")
     for name, left, right in (("own", ["_pid"], ["e_pid"]), ("nm", by_name, ["p_name"]), ("bo", mail + by_name, ["p_email", "p_name"])):
         out = _look_up(out, e, name, [*left, "training_id"], [*right, "e_training"], "eid")
         out = _look_up(out, e, f"{name}_c", [*left, "training_id", "cohort_start_date"], [*right, "e_training", "e_cohort"], "eid")
+        if name != "own":
+            out = _shown(out, e, name, [*left, "training_id"], [*right, "e_training"], "eid")
+            out = _shown(out, e, f"{name}_c", [*left, "training_id", "cohort_start_date"], [*right, "e_training", "e_cohort"], "eid")
 
     def pick(field: str) -> tuple[Column, Column]:
         """With and without cohort, among those who also have the address if there are any."""
@@ -52,25 +77,29 @@ def match_people(rows: DataFrame, people: DataFrame, enrolled: DataFrame) -> Dat
         return F.when(some, C(f"bo_c_{field}")).otherwise(C(f"nm_c_{field}")), F.when(some, C(f"bo_{field}")).otherwise(C(f"nm_{field}"))
 
     sure = C("mail_n") == 1
-    (near_n, far_n), (near_id, far_id) = pick("n"), pick("id")
+    (near_n, far_n), (near_id, far_id), (near_ids, far_ids) = pick("n"), pick("id"), pick("ids")
     own_n = F.when(C("training_id").isNull(), C("any_n")).when(C("own_c_n") > 0, C("own_c_n")).otherwise(C("own_n"))
     own_id = F.when(C("own_c_n") > 0, C("own_c_id")).otherwise(C("own_id"))
     own_status = F.when(C("training_id").isNull(), "unmatched").when(own_n == 1, "matched").when(own_n > 1, "ambiguous").otherwise("unmatched")
     hits = F.when(near_n > 0, near_n).otherwise(far_n)
     hit = F.when(near_n > 0, near_id).otherwise(far_id)
-    rivals = F.greatest("mail_n", F.when(C("both_n") > 0, C("both_n")).otherwise(C("name_n")))
+    named_n, named_ids = F.when(C("both_n") > 0, C("both_n")).otherwise(C("name_n")), F.when(C("both_n") > 0, C("both_ids")).otherwise(C("name_ids"))
+    rivals = F.greatest("mail_n", named_n)
+    # enrollments that compete, else people
+    shown = F.when(near_n > 0, near_ids).when(far_n > 0, far_ids).when(C("mail_n") >= named_n, C("mail_ids")).otherwise(named_ids)
     status = F.when(sure | (hits == 1), "matched").when((hits > 1) | (rivals > 1), "ambiguous").otherwise("unmatched")
     method = F.when(sure, "unique_email").when((hits == 1) & (near_n > 0), "name_training_cohort").when(hits == 1, "name_training").when(status == "ambiguous", "ambiguous_candidates").otherwise("no_match")
     out = out.withColumns({
         "match_status": status, "match_method": method,
         "matched_enrollment_id": F.when(sure, F.when(own_status == "matched", own_id)).when(hits == 1, hit),
         "candidate_count": F.when(sure | (hits == 1), 1).when(hits > 1, hits).when(rivals > 1, rivals).otherwise(0).cast("bigint"),
+        "candidate_ids": F.coalesce(F.when(status == "ambiguous", shown), F.array().cast("array<string>")),
         "enrollment_candidate_count": F.when(sure, own_n).otherwise(hits).cast("bigint"),
         "enrollment_match_status": F.when(sure, own_status).when(hits == 1, "matched").when(hits > 1, "ambiguous").otherwise("unmatched"),
     })
     owner = e.select(C("eid").alias("_eid"), C("e_pid").alias("_owner"))
     out = out.join(owner, C("matched_enrollment_id") == C("_eid"), "left").withColumn("matched_participant_id", F.coalesce("_pid", "_owner"))
-    news = ("match_status", "match_method", "matched_participant_id", "matched_enrollment_id", "candidate_count", "enrollment_candidate_count", "enrollment_match_status")
+    news = ("match_status", "match_method", "matched_participant_id", "matched_enrollment_id", "candidate_count", "candidate_ids", "enrollment_candidate_count", "enrollment_match_status")
     return out.select(*[c for c in rows.columns if c not in news], *news)
 
 
@@ -94,9 +123,9 @@ def assignments(raw: DataFrame, participants: DataFrame, enrollments: DataFrame,
         who["last"].alias("participant_last_name_raw"), who["first"].alias("participant_first_name_raw"), text.name_key(x["Teilnehmer*in"]).alias("name_match_key"),
         text.trim_text(x["E-Mail"]).alias("email"), email.alias("email_match_key"), mapped["training_id"].alias("training_id"), mapped["status"].alias("_mapped"),
         F.when(mapped["status"] == "missing", "unmatched").otherwise(mapped["status"]).alias("training_match_status"),
-        dates.parse_flexible_date(x["Kohorte"], month_year=True).alias("cohort_start_date"), F.coalesce(coach, F.lit("unknown")).alias("coach"), F.coalesce(light, F.lit("unknown")).alias("ampel"),
+        dates.parse_flexible_date(x["Kohorte"], month_year=True).alias("cohort_start_date"), F.coalesce(coach, F.lit("unknown")).alias("coach"), F.coalesce(light, F.lit("unknown")).alias("ampel"), F.when(light.isNotNull(), "mapped").when(text.is_missing(x["Ampel"]), "missing").otherwise("unmapped").alias("ampel_status"),
         dates.parse_flexible_date(x["Letzter Kontakt"]).alias("last_contact_date"), text.trim_text(x["Notizen"]).alias("notizen"),
-        F.exists(F.array(*[text.is_missing(x[f]) for f in REQUIRED]), lambda v: v).alias("is_incomplete"),
+        F.exists(F.array(*[text.is_missing(x[f]) for f in REQUIRED]), lambda v: v).alias("is_incomplete"), *[C(c) for c in raw.columns if c.startswith("_")],
     )
     key = business_key(C("email_match_key"), C("training_id"), C("cohort_start_date"))
     df = df.withColumns({"coach_assignment_business_key": key["key"], "has_complete_business_key": key["complete"]})

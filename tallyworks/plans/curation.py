@@ -13,6 +13,7 @@ from ..operators import checks
 from ..operators.rows import dedupe_latest, flag_present
 
 C = F.col
+MODULES = "array<struct<module_id:string,module_order:int,module_name:string,estimated_hours:int>>"
 
 
 def issue(when: Column, rule: str, severity: str = "error") -> Column:
@@ -33,6 +34,16 @@ def finish(df: DataFrame, key: str, issues: list[Column], fields: list[str]) ->
     return out.withColumn("is_quarantined", C("validation_status") == "quarantined")
 
 
+def own_fields(raw: DataFrame) -> list[str]:
+    """The source's fields; lineage columns begin with an underscore."""
+    return [c for c in raw.columns if not c.startswith("_")]
+
+
+def known_value(status: Column) -> Column:
+    """Whether a category is in its domain; null if there is none."""
+    return F.when(status != "missing", status == "mapped")
+
+
 def invalid(raw: str, clean: Column) -> Column:
     return ~text.is_missing(C(raw)) & clean.isNull()
 
@@ -48,10 +59,11 @@ def parsed(name: str, clean: Column) -> list[Column]:
 
 def enrollments(raw: DataFrame, participants: DataFrame, trainings: DataFrame, as_of: str) -> DataFrame:
     """Only values that cannot be read are errors; what looks odd is noted and the row stays valid."""
-    fields, as_sent = raw.columns, C("training_id")
+    fields, as_sent = own_fields(raw), C("training_id")
     status = K.standardize(C("status"), K.STATUSES)
     df = raw.withColumns({"enrollment_id": text.trim_text(C("enrollment_id")), "participant_id": text.trim_text(C("participant_id")), "training_id": text.normalize_upper(as_sent), "training_id_changed": text.normalize_upper(as_sent) != as_sent})
     df = df.withColumns({"cohort_start": dates.parse_flexible_date(C("cohort_start_date")), "planned_end": dates.parse_flexible_date(C("planned_end_date")), "status_clean": status["value"], "changed_at_utc": dates.parse_local_timestamp(C("status_changed_at")), "created_at_utc": dates.parse_local_timestamp(C("created_at")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
+    df = df.withColumns({"is_status_valid": known_value(status["status"]), "is_open_status": F.when(status["status"] == "mapped", C("status_clean").isin(*K.OPEN_STATUSES)), "planned_duration_days": F.datediff("planned_end", "cohort_start")})
     df = flag_present(df, participants, {"participant_id": "participant_id"}, "has_participant")
     df = flag_present(df, trainings, {"training_id": "training_id"}, "has_training")
     limit = dates.local_to_utc(F.lit(as_of).cast("date").cast("timestamp_ntz") + F.expr("interval 1 day")).cast("timestamp")
@@ -67,12 +79,15 @@ def enrollments(raw: DataFrame, participants: DataFrame, trainings: DataFrame, a
 
 def participants(raw: DataFrame, as_of: str, everyone: DataFrame | None = None) -> DataFrame:
     """everyone: the whole raw history, in which shared addresses are looked for (else raw itself)."""
-    fields = raw.columns
+    fields = own_fields(raw)
     funding, state = K.standardize(C("funding_type"), K.FUNDING), K.federal_state(C("federal_state"))
     df = raw.withColumns({"participant_id": text.trim_text(C("participant_id")), "first_name_clean": text.person_name(C("first_name")), "last_name_clean": text.person_name(C("last_name")), "email_clean": text.normalize_email(C("email")), "city_clean": text.city_name(C("city")), "state": F.coalesce(state, text.clean_text(C("federal_state")), F.lit("unknown")), "funding": funding["value"], "birth": dates.parse_flexible_date(C("birth_date")), "modified_at_utc": dates.parse_local_timestamp(C("modified_at"))})
     known = df if everyone is None else everyone.select(text.trim_text(C("participant_id")).alias("participant_id"), text.normalize_email(C("email")).alias("email_clean"))
     shared = known.where("email_clean is not null").groupBy("email_clean").agg((F.count_distinct("participant_id") > 1).alias("shared_email"), F.min(F.struct(F.length("participant_id").alias("n"), C("participant_id").alias("id")))["id"].alias("canonical_id"))
     df = df.join(shared, "email_clean", "left").withColumn("canonical_participant_id", F.coalesce("canonical_id", "participant_id")).drop("canonical_id")
+    df = df.withColumns({"name_match_key": text.name_key(C("first_name"), C("last_name")), "is_email_valid": F.when(C("email_clean").isNotNull(), text.is_email(C("email_clean"))), "is_birth_date_valid": F.when(invalid("birth_date", C("birth")), False).when(C("birth").isNotNull(), C("birth").between(F.lit("1900-01-01").cast("date"), F.lit(as_of).cast("date")))})
+    if "created_at" in fields:
+        df = df.withColumn("created_at_utc", dates.parse_local_timestamp(C("created_at")))
     more = []
     if "acquisition_channel" in fields:
         channel = K.standardize(C("acquisition_channel"), None)
@@ -90,22 +105,23 @@ def participants(raw: DataFrame, as_of: str, everyone: DataFrame | None = None)
 
 
 def progress_events(raw: DataFrame, enrolled: DataFrame, modules: DataFrame) -> DataFrame:
-    fields = raw.columns
+    fields = own_fields(raw)
     e = enrolled.groupBy(C("enrollment_id").alias("_e")).agg(F.max_by("training_id", F.coalesce("modified_at_utc", F.lit("1970-01-01").cast("timestamp"))).alias("enrolled_training"), F.max("cohort_start").alias("_start"))
     m = modules.groupBy(C("module_id").alias("_m")).agg(F.min("training_id").alias("module_training"))
     kind = K.standardize(C("event_type"), K.EVENTS)
     df = raw.withColumns({"event_id": text.trim_text(C("event_id")), "enrollment_id": text.trim_text(C("enrollment_id")), "module_id": text.normalize_upper(C("module_id")), "event_kind": kind["value"], "event_at_utc": dates.parse_utc_timestamp(C("event_time"))})
     df = df.join(e, C("enrollment_id") == C("_e"), "left").join(m, C("module_id") == C("_m"), "left")
     local = F.convert_timezone(F.lit("UTC"), F.lit("Europe/Berlin"), C("event_at_utc").cast("timestamp_ntz")).cast("date")
+    df = df.withColumns({"is_event_type_valid": known_value(kind["status"]), "has_enrollment": C("_e").isNotNull(), "has_module": C("_m").isNotNull(), "is_module_in_training": C("module_training") == C("enrolled_training"), "is_before_start": local < C("_start")})
     return finish(df, "event_id", [
         *category("event_type", kind["status"]), issue(C("_e").isNull(), "missing_enrollment_reference", "note"), issue(C("_m").isNull(), "missing_module_reference", "note"),
-        issue(C("module_training") != C("enrolled_training"), "module_not_in_enrollment_training", "note"), *parsed("event_time", C("event_at_utc")), issue(local < C("_start"), "event_before_cohort_start", "note"),
+        issue(C("module_training") != C("enrolled_training"), "module_not_in_enrollment_training", "note"), *parsed("event_time", C("event_at_utc")), issue(C("is_before_start"), "event_before_cohort_start", "note"),
     ], fields).drop("_e", "_m", "_start")
 
 
 def survey_responses(raw: DataFrame, enrolled: DataFrame) -> DataFrame:
     """is_answer_valid is null for questions without a scale and for missing answers."""
-    fields = raw.columns
+    fields = own_fields(raw)
     kind, question = K.standardize(C("survey_type"), tuple(dict.fromkeys(K.QUESTIONS.values()))), K.standardize(C("question_key"), tuple(K.QUESTIONS))
     df = raw.withColumns({"response_id": text.trim_text(C("response_id")), "enrollment_id": text.trim_text(C("enrollment_id")), "survey_kind": kind["value"], "question": question["value"], "week": numbers.whole_number(C("survey_week")), "submitted_at_utc": dates.parse_utc_timestamp(C("submitted_at")), "_a": numbers.parse_answer(C("answer_value"))})
     low = F.coalesce(*[F.when(C("question") == q, lo) for q, (lo, _) in K.RANGES.items()])
@@ -115,6 +131,8 @@ def survey_responses(raw: DataFrame, enrolled: DataFrame) -> DataFrame:
     fits = F.coalesce((C("_a.score") == F.floor("_a.score")) & C("_a.score").between(low, high), F.lit(False)) & ~C("scale_off")
     week_fits = F.when(C("survey_kind") == "wochenfeedback", F.coalesce(C("week") >= 1, F.lit(False))).otherwise(C("week").isNull())
     df = df.withColumns({"is_answer_valid": F.when(rated & numeric, fits).when(rated & (C("_a.kind") == "text"), False), "is_survey_week_valid": week_fits})
+    context = F.when(C("_a.kind") == "missing", "unknown").when(C("_a.kind") == "ratio", F.regexp_replace(C("_a.scale").cast("string"), r"\.?0+$", "")).when(C("_a.kind") == "text", "text").otherwise("unknown")
+    df = df.withColumns({"is_answer_missing": C("_a.kind") == "missing", "answer_context": F.when(rated, context).when(C("_a.kind") == "missing", "unknown").otherwise("text"), "is_question_valid": C("survey_kind") == C("expected_type"), "nps_category": F.when((C("question") == "nps") & C("is_answer_valid"), numbers.nps_group(C("score")))})
     df = flag_present(df, enrolled, {"enrollment_id": "enrollment_id"}, "has_enrollment")
     return finish(df, "response_id", [
         issue(invalid("survey_week", C("week")), "invalid_survey_week"), *category("survey_type", kind["status"]), *category("question_key", question["status"]), issue(~C("has_enrollment"), "missing_enrollment_reference", "note"),
@@ -127,7 +145,7 @@ def survey_responses(raw: DataFrame, enrolled: DataFrame) -> DataFrame:
 
 def trainings(raw: DataFrame) -> DataFrame:
     """The catalog. Modules are consistent if their orders are 1 to n and their ids differ and begin with the training's."""
-    fields = raw.columns
+    fields = own_fields(raw)
     variant, weeks, price = K.standardize(C("variant"), K.VARIANTS), numbers.whole_number(C("duration_weeks")), numbers.money(C("list_price_eur"))
     ids = F.transform("modules", lambda m: text.normalize_upper(m["module_id"]))
     orders = F.transform("modules", lambda m: m["module_order"].cast("int"))

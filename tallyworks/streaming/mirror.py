@@ -10,11 +10,12 @@ from ..sources.lake import Lake
 
 
 def mirror(stream: DataFrame, lake: Lake, name: str, keys: list[str], order: list[str], checkpoint: str):
-    """Start a query that keeps the newest row of each key in the lake. A micro-batch that is run again changes nothing."""
+    """Start a query that keeps the newest row of each key in the lake. A micro-batch that is run again changes nothing, and rewrites only the buckets
+    of its keys."""
     by = [F.col(c).desc_nulls_last() for c in order]
 
     def step(batch: DataFrame, _: int) -> None:
         fresh = dedupe_latest(batch, keys, by)
-        lake.commit({name: merge_newest(lake.read(name), fresh, keys, by) if name in lake.names() else fresh})
+        lake.publish(lake.merge(name, fresh, keys, lambda old, new: merge_newest(old, new, keys, by)))
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

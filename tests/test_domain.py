@@ -138,10 +138,10 @@ def test_lake_merge_and_mirror(spark, tmp_path):
     assert lake.read("raw").count() == 1 and lake.names() == ["raw"]
     with pytest.raises(KeyError):
         lake.read("other")
-    real, lake._versions = lake._versions, lambda: real()[:-1]  # as a writer sees it that began before the last commit
+    real, lake.versions = lake.versions, lambda: real()[:-1]  # as a writer sees it that began before the last commit
     with pytest.raises(RuntimeError, match="another writer"):
         lake.replace_snapshot("raw", "2026-01-03", day((9, "z")))
-    lake._versions = real
+    lake.versions = real
     assert lake.days("raw") == ["2026-01-01"]
     lake.upsert("t", day((1, "x"), (2, "y")), ["id"])
     lake.upsert("t", day((2, "z")), ["id"])

@@ -37,3 +37,11 @@ def test_assertions_hold_and_break(spark):
     use = c["rpt_coach_utilization"]
     c.built["rpt_coach_utilization"] = use.withColumns({"red_enrollment_count": use.active_or_paused_enrollment_count + 1, "reporting_date": use.coach_snapshot_date - 9})
     assert {"one row an enrollment", "parts do not exceed their wholes", "reports are as of the cutoff"} <= {*assertions.broken(c)}
+
+
+def test_marts_carry_no_personal_data(spark):
+    c = Context(model_queries.inputs(spark, D), model_queries.AS_OF)
+    private = {"email", "birth_date", "birth_date_unparsed_raw", "answer_value", "notizen", "notizen_raw", "email_raw", "teilnehmer_raw"}
+    for name in MODELS:
+        if not name.startswith("int_"):
+            assert not private & {*c[name].columns}, name
