@@ -15,7 +15,7 @@ from .sources.lake import Lake
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tallyworks")
-    p.add_argument("--layer", choices=("raw", "curated", "reports", "all"), default="all")
+    p.add_argument("--layer", choices=("raw", "curated", "reports", "all", "verify"), default="all")
     p.add_argument("--lake", required=True)
     p.add_argument("--snapshot-date", type=date.fromisoformat, default=datetime.now(UTC).date())
     p.add_argument("--as-of", type=date.fromisoformat, default=date(2026, 8, 31))
@@ -26,10 +26,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--rebuild-curated", action="store_true")
     p.add_argument("--allow-shrinking-source", action="store_true")
+    p.add_argument("--from-day", type=lambda s: date.fromisoformat(s).isoformat(), help="staging reads curated days from this one on")
+    p.add_argument("--full-models", action="store_true", help="staging from scratch")
     a = p.parse_args(argv)
     spark = build()
     client = Client(a.base_url, os.environ.get("API_CLIENT_ID", ""), os.environ.get("API_CLIENT_SECRET", ""))
-    run = Run(spark, Lake(spark, a.lake), a.snapshot_date.isoformat(), a.as_of.isoformat(), a.full_refresh, a.allow_shrinking_source, a.rebuild_curated, a.page_size)
+    run = Run(spark, Lake(spark, a.lake), a.snapshot_date.isoformat(), a.as_of.isoformat(), a.full_refresh, a.allow_shrinking_source, a.rebuild_curated, a.page_size, a.from_day, a.full_models)
     return run.run(a.layer, client, a.coach_file, a.out)
 
 

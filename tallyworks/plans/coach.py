@@ -34,18 +34,25 @@ def _look_up(rows: DataFrame, known: DataFrame, name: str, left: list[str], righ
     return out.withColumn(f"{name}_n", F.coalesce(f"{name}_n", F.lit(0).cast("bigint")))
 
 
-def _shown(rows: DataFrame, known: DataFrame, name: str, left: list[str], right: list[str], value: str) -> DataFrame:
-    """rows with {name}_ids, the CANDIDATES smallest different values that known holds under the row's keys; null where it holds one or none.
+def _key(kind: str, *parts: Column) -> Column:
+    """One text for a kind of lookup and its keys; null if a key is."""
+    return F.concat(F.lit(kind), *[x for p in parts for x in (F.lit("\x1f"), p.cast("string"))])
+
+
+def _listed(rows: DataFrame, people: DataFrame, e: DataFrame) -> DataFrame:
+    """rows with candidate_ids, the CANDIDATES smallest ids that there are under their key _of, none without one.
 
     The rank cuts each task's share of a key before the shuffle, so that a key that many share stays as small as any.
     """
-    keys = [C(r).alias(f"_{name}_{r}") for r in right]
-    each = known.select(*keys, C(value).alias("_v")).where(reduce(and_, [C(f"_{name}_{r}").isNotNull() for r in right]) & C("_v").isNotNull()).distinct()
-    by = [f"_{name}_{r}" for r in right]
-    least = each.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_v"))).where(C("_r") <= CANDIDATES)
-    lists = least.groupBy(*by).agg(F.sort_array(F.collect_list("_v")).alias(f"{name}_ids"))
-    on = [C(a) == C(b) for a, b in zip(left, by, strict=True)]
-    return rows.join(lists.where(F.size(f"{name}_ids") > 1), on, "left").drop(*by)
+    mail, name, training, cohort = C("p_email"), C("p_name"), C("e_training"), C("e_cohort")
+    who = [("mail", mail), ("name", name), ("both", mail, name)]
+    what = [("nm", name, training), ("nm_c", name, training, cohort), ("bo", mail, name, training), ("bo_c", mail, name, training, cohort)]
+    known = [people.select(_key(*k).alias("_key"), C("pid").alias("_v")) for k in who] + [e.select(_key(*k).alias("_key"), C("eid").alias("_v")) for k in what]
+    each = reduce(DataFrame.unionByName, known).where("_key is not null and _v is not null").distinct()
+    least = each.withColumn("_r", F.row_number().over(Window.partitionBy("_key").orderBy("_v"))).where(C("_r") <= CANDIDATES)
+    lists = least.groupBy("_key").agg(F.sort_array(F.collect_list("_v")).alias("candidate_ids"))
+    out = rows.join(lists, C("_of") == C("_key"), "left").drop("_key", "_of")
+    return out.withColumn("candidate_ids", F.coalesce("candidate_ids", F.array().cast("array<string>")))
 
 
 def match_people(rows: DataFrame, people: DataFrame, enrolled: DataFrame) -> DataFrame:
@@ -62,14 +69,9 @@ def match_people(rows: DataFrame, people: DataFrame, enrolled: DataFrame) -> Dat
     out = out.withColumn("_pid", F.when(C("mail_n") == 1, C("mail_id")))
     out = _look_up(out, e, "any", ["_pid"], ["e_pid"], "eid")
     mail, by_name = ["email_match_key"], ["name_match_key"]
-    for name, left, right in (("mail", ["email_match_key"], ["p_email"]), ("name", ["name_match_key"], ["p_name"]), ("both", ["email_match_key", "name_match_key"], ["p_email", "p_name"])):
-        out = _shown(out, people, name, left, right, "pid")
     for name, left, right in (("own", ["_pid"], ["e_pid"]), ("nm", by_name, ["p_name"]), ("bo", mail + by_name, ["p_email", "p_name"])):
         out = _look_up(out, e, name, [*left, "training_id"], [*right, "e_training"], "eid")
         out = _look_up(out, e, f"{name}_c", [*left, "training_id", "cohort_start_date"], [*right, "e_training", "e_cohort"], "eid")
-        if name != "own":
-            out = _shown(out, e, name, [*left, "training_id"], [*right, "e_training"], "eid")
-            out = _shown(out, e, f"{name}_c", [*left, "training_id", "cohort_start_date"], [*right, "e_training", "e_cohort"], "eid")
 
     def pick(field: str) -> tuple[Column, Column]:
         """With and without cohort, among those who also have the address if there are any."""
@@ -77,26 +79,30 @@ def match_people(rows: DataFrame, people: DataFrame, enrolled: DataFrame) -> Dat
         return F.when(some, C(f"bo_c_{field}")).otherwise(C(f"nm_c_{field}")), F.when(some, C(f"bo_{field}")).otherwise(C(f"nm_{field}"))
 
     sure = C("mail_n") == 1
-    (near_n, far_n), (near_id, far_id), (near_ids, far_ids) = pick("n"), pick("id"), pick("ids")
+    (near_n, far_n), (near_id, far_id) = pick("n"), pick("id")
     own_n = F.when(C("training_id").isNull(), C("any_n")).when(C("own_c_n") > 0, C("own_c_n")).otherwise(C("own_n"))
     own_id = F.when(C("own_c_n") > 0, C("own_c_id")).otherwise(C("own_id"))
     own_status = F.when(C("training_id").isNull(), "unmatched").when(own_n == 1, "matched").when(own_n > 1, "ambiguous").otherwise("unmatched")
     hits = F.when(near_n > 0, near_n).otherwise(far_n)
     hit = F.when(near_n > 0, near_id).otherwise(far_id)
-    named_n, named_ids = F.when(C("both_n") > 0, C("both_n")).otherwise(C("name_n")), F.when(C("both_n") > 0, C("both_ids")).otherwise(C("name_ids"))
+    named_n = F.when(C("both_n") > 0, C("both_n")).otherwise(C("name_n"))
     rivals = F.greatest("mail_n", named_n)
     # enrollments that compete, else people
-    shown = F.when(near_n > 0, near_ids).when(far_n > 0, far_ids).when(C("mail_n") >= named_n, C("mail_ids")).otherwise(named_ids)
+    m, k, t, day = C("email_match_key"), C("name_match_key"), C("training_id"), C("cohort_start_date")
+    some = C("both_n") > 0
+    of = F.when(near_n > 0, F.when(some, _key("bo_c", m, k, t, day)).otherwise(_key("nm_c", k, t, day))).when(far_n > 0, F.when(some, _key("bo", m, k, t)).otherwise(_key("nm", k, t)))
+    of = F.coalesce(of, F.when(C("mail_n") >= named_n, _key("mail", m)), F.when(some, _key("both", m, k)), _key("name", k))
     status = F.when(sure | (hits == 1), "matched").when((hits > 1) | (rivals > 1), "ambiguous").otherwise("unmatched")
     method = F.when(sure, "unique_email").when((hits == 1) & (near_n > 0), "name_training_cohort").when(hits == 1, "name_training").when(status == "ambiguous", "ambiguous_candidates").otherwise("no_match")
     out = out.withColumns({
         "match_status": status, "match_method": method,
         "matched_enrollment_id": F.when(sure, F.when(own_status == "matched", own_id)).when(hits == 1, hit),
         "candidate_count": F.when(sure | (hits == 1), 1).when(hits > 1, hits).when(rivals > 1, rivals).otherwise(0).cast("bigint"),
-        "candidate_ids": F.coalesce(F.when(status == "ambiguous", shown), F.array().cast("array<string>")),
+        "_of": F.when(status == "ambiguous", of),
         "enrollment_candidate_count": F.when(sure, own_n).otherwise(hits).cast("bigint"),
         "enrollment_match_status": F.when(sure, own_status).when(hits == 1, "matched").when(hits > 1, "ambiguous").otherwise("unmatched"),
     })
+    out = _listed(out, people, e)
     owner = e.select(C("eid").alias("_eid"), C("e_pid").alias("_owner"))
     out = out.join(owner, C("matched_enrollment_id") == C("_eid"), "left").withColumn("matched_participant_id", F.coalesce("_pid", "_owner"))
     news = ("match_status", "match_method", "matched_participant_id", "matched_enrollment_id", "candidate_count", "candidate_ids", "enrollment_candidate_count", "enrollment_match_status")

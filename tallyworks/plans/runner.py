@@ -6,7 +6,7 @@ import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 from pathlib import Path
 
@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from ..operators.rows import dedupe_latest
 from ..sources import extract, workbook
+from ..sources.contract import Contract
 from ..sources.export import export
 from ..sources.lake import Lake
-from . import coach, curation, models
+from . import coach, curation, data_tests, models, rebuild, staging
 from .analyses import ANALYSES
 from .assertions import broken
 
@@ -43,12 +44,32 @@ DATASETS = {
     "survey_responses": Dataset(("response_id", "enrollment_id", "survey_type", "survey_week", "question_key", "answer_value", "submitted_at"), "response_id", "/survey-responses", "since", "submitted_at"),
     "coach_rows": Dataset(coach.FIELDS, "coach_assignment_id"),
 }
-MODULES = "array<struct<module_id string, module_order int, module_name string, estimated_hours int>>"
 LOG = "snapshot_date string, dataset string, run_id string, status string, load_mode string, watermark string, fingerprint string, records_fetched bigint, row_count bigint, error string"
+TESTS = "snapshot_date string, run_id string, model string, test string, severity string, failures bigint"
 RUNS = "run_id string, snapshot_date string, layer string, status string, started_at string, finished_at string, error string"
+LINEAGE = {"_run_id": "string", "_page_number": "int", "_source_row_number": "int", "_ingested_at": "timestamp", "_source_as_of": "string"}
+#: what every curated row must have, whatever else its table holds
+CURATED_CONTRACT = {"_run_id": "string!", "_ingested_at": "timestamp!", "_snapshot_date": "date!", "payload_hash": "string!", "duplicate_id_count": "bigint!", "duplicate_payload_count": "bigint!", "quality_flags": "array<string>!", "validation_status": "string!", "is_quarantined": "boolean!"}
+NEEDED = {"meta_extraction_log": ("snapshot_date", "dataset", "run_id", "status", "load_mode", "records_fetched", "row_count"), "meta_curation_log": ("snapshot_date", "dataset", "curated_from", "row_count")}
+STATUSES = ("LOADED", "NO_CHANGES", "FAILED")
 CURATED = "snapshot_date string, dataset string, curated_from string, row_count bigint"
 
 
+def check_log(name: str, row: dict) -> None:
+    """A log row has what its log needs, a known status, and an error if it failed."""
+    if name not in NEEDED:
+        return
+    # a load that failed has counted nothing
+    needed = NEEDED[name][:4] if row.get("status") == "FAILED" else NEEDED[name]
+    if missing := [c for c in needed if row.get(c) is None]:
+        raise ValueError(f"{name}: a row without {missing}")
+    if name == "meta_extraction_log":
+        if row["status"] not in STATUSES:
+            raise ValueError(f"{name}: status {row['status']}, expected one of {STATUSES}")
+        if row["status"] == "FAILED" and not row.get("error"):
+            raise ValueError(f"{name}: a failed load without its error")
+
+
 @dataclass
 class Run:
     spark: SparkSession
@@ -59,9 +80,12 @@ class Run:
     allow_shrink: bool = False
     rebuild: bool = False
     page_size: int = 500
+    #: staging reads curated days from this one on, instead of from its newest
+    from_day: str | None = None
+    full_models: bool = False
 
     def __post_init__(self):
-        self.run_id = uuid.uuid4().hex
+        self.run_id, self.at = uuid.uuid4().hex, datetime.now(UTC)
 
     def log(self, name: str) -> list[dict]:
         return [r.asDict() for r in self.lake.read(name).collect()] if name in self.lake.names() else []
@@ -69,15 +93,17 @@ class Run:
     def note(self, name: str, schema: str, rows: list[dict], keys: list[str]) -> None:
         """Log rows replace those of the same keys; a log has one row a day and dataset, or a run."""
         columns = [c.split()[0] for c in schema.split(", ")]
+        for r in rows:
+            check_log(name, r)
         if rows:
-            self.lake.upsert(name, self.spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], schema).coalesce(1), keys)
+            self.lake.upsert(name, self.spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], schema).coalesce(1), keys, buckets=1)
 
-    def _frame(self, name: str, records: list[dict], lineage: list[tuple[int | None, int]]) -> DataFrame:
+    def _frame(self, name: str, records: list[dict], lineage: list[tuple[int | None, int]], as_of: str | None = None) -> DataFrame:
         fields = DATASETS[name].fields
-        kind = lambda f: MODULES if f == "modules" else "string"
+        kind = lambda f: curation.MODULES if f == "modules" else "string"
         value = lambda r, f: r.get(f) if f == "modules" else extract.to_text(r.get(f))
-        schema = ", ".join(f"`{f}` {kind(f)}" for f in fields) + ", _run_id string, _page_number int, _source_row_number int"
-        return self.spark.createDataFrame([(*[value(r, f) for f in fields], self.run_id, page, row) for r, (page, row) in zip(records, lineage, strict=True)], schema)
+        schema = ", ".join(f"`{f}` {kind(f)}" for f in fields) + "".join(f", {n} {t}" for n, t in LINEAGE.items())
+        return self.spark.createDataFrame([(*[value(r, f) for f in fields], self.run_id, page, row, self.at, as_of) for r, (page, row) in zip(records, lineage, strict=True)], schema)
 
     def _earlier(self, name: str) -> DataFrame | None:
         days = [d for d in self.lake.days(f"raw_{name}") if d < self.day]
@@ -85,10 +111,12 @@ class Run:
 
     def fetch(self, name: str, client, book: str | None, log: list[dict]) -> tuple[dict, DataFrame | None]:
         """The log row of one dataset and the frame to store; a frame of None stores nothing."""
+        as_of = None
         d, row = DATASETS[name], {"snapshot_date": self.day, "dataset": name, "run_id": self.run_id, "load_mode": "full"}
         if not d.mark:
             if d.path:
-                records = client.get(d.path).get("data")
+                answer = client.get(d.path)
+                records, as_of = answer.get("data"), extract.to_text(answer.get("as_of"))
                 if not isinstance(records, list) or not all(isinstance(r, dict) for r in records):
                     raise ValueError(f"{d.path}: no list of objects under data")
                 if records:
@@ -100,7 +128,7 @@ class Run:
                 row["fingerprint"], lineage = hashlib.sha256(data).hexdigest(), [(None, r["_source_row_number"]) for r in records]
             before = [r for r in sorted(log, key=lambda r: r["snapshot_date"]) if r["dataset"] == name and r["snapshot_date"] < self.day and r["status"] == "LOADED"]
             same = bool(before) and before[-1]["fingerprint"] == row["fingerprint"] and not self.full
-            kept = self._frame(name, records, lineage) if records and not same else None
+            kept = self._frame(name, records, lineage, as_of) if records and not same else None
         else:
             mark = None if self.full else extract.watermark(log, name, self.day)
             row["load_mode"] = "incremental" if mark else "full"
@@ -143,13 +171,40 @@ class Run:
         """Raw days that are new, or all; references are looked up in the whole history. Curated days without a raw one go."""
         done = {(r["dataset"], r["snapshot_date"]): r["curated_from"] for r in self.log("meta_curation_log")}
         come = {(r["dataset"], r["snapshot_date"]): r["run_id"] for r in self.log("meta_extraction_log") if r["status"] == "LOADED"}
-        plain = lambda n, df: df.select(*[C(f"`{f}`") for f in DATASETS[n].fields])
+        gone = {f"curated_{n}@{d}": (n, d) for n in DATASETS for d in self.lake.days(f"curated_{n}") if (n, d) not in come}
+        todo = [k for k, run in sorted(come.items()) if self.rebuild or done.get(k) != run]
+        contracts = {f"curated_{n}": Contract(CURATED_CONTRACT, open=True) for n in DATASETS}
+        with self.lake.scratch() as folder:
+            steps = self._steps(folder) if todo else {}
+            tables: dict[str, DataFrame | None] = dict.fromkeys(gone)
+            for name, day in todo:
+                tables[f"curated_{name}@{day}"] = steps[name](self.lake.read_day(f"raw_{name}", day), day).withColumn("_snapshot_date", F.lit(day).cast("date"))
+            self.lake.commit(tables, contracts)
+        counts = {f"{n}@{d}": self.lake.read_day(f"curated_{n}", d).count() for n, d in todo}
+        self.note("meta_curation_log", CURATED, [{"snapshot_date": d, "dataset": n, "curated_from": come[n, d], "row_count": counts[f"{n}@{d}"]} for n, d in todo], ["snapshot_date", "dataset"])
+        if gone:
+            self._forget("meta_curation_log", [*gone.values()])
+        return counts
+
+    def _forget(self, log: str, rows: list[tuple[str, str]]) -> None:
+        """The log is the list of what there is: rows of dropped days leave it."""
+        kept = self.lake.read(log).where(~F.struct("dataset", "snapshot_date").isin([F.struct(F.lit(n), F.lit(d)) for n, d in rows]))
+        self.lake.publish(self.lake.merge(log, kept, ["snapshot_date", "dataset"], lambda old, new: new, touch=self.lake.read(log)))
+
+    def _steps(self, folder: str) -> dict[str, Callable[[DataFrame, str], DataFrame]]:
+        """How a day of each dataset is curated. What references are looked up in is written to folder, once."""
+
+        def kept(name: str, df: DataFrame) -> DataFrame:
+            df.write.parquet(f"{folder}/{name}")
+            return self.spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+        plain = lambda n, df: df.select(*[C(f"`{f}`") for f in DATASETS[n].fields], *LINEAGE)
         newest = lambda n: dedupe_latest(self._history(n), [DATASETS[n].key], [C("_snapshot_date").desc(), C("_source_row_number").desc(), C("_run_id")])
-        trainings = curation.trainings(plain("trainings", newest("trainings")))
+        trainings = kept("trainings", curation.trainings(plain("trainings", newest("trainings"))))
         everyone = plain("participants", self._history("participants"))
-        people = curation.participants(plain("participants", newest("participants")), self.as_of)
-        enrolled = curation.enrollments(plain("enrollments", newest("enrollments")), people, trainings, self.as_of)
-        steps: dict[str, Callable[[DataFrame, str], DataFrame]] = {
+        people = kept("people", curation.participants(plain("participants", newest("participants")), self.as_of))
+        enrolled = kept("enrolled", curation.enrollments(plain("enrollments", newest("enrollments")), people, trainings, self.as_of))
+        return {
             "trainings": lambda df, _: curation.trainings(plain("trainings", df)),
             "participants": lambda df, _: curation.participants(plain("participants", df), self.as_of, everyone),
             "enrollments": lambda df, _: curation.enrollments(plain("enrollments", df), people, trainings, self.as_of),
@@ -157,34 +212,65 @@ class Run:
             "survey_responses": lambda df, _: curation.survey_responses(plain("survey_responses", df), enrolled),
             "coach_rows": lambda df, day: coach.assignments(df, people, enrolled, "coach_rows", day),
         }
-        tables: dict[str, DataFrame | None] = {f"curated_{n}@{d}": None for n in DATASETS for d in self.lake.days(f"curated_{n}") if (n, d) not in come}
-        todo = [k for k, run in sorted(come.items()) if self.rebuild or done.get(k) != run]
-        for name, day in todo:
-            tables[f"curated_{name}@{day}"] = steps[name](self.lake.read_day(f"raw_{name}", day), day).withColumn("_snapshot_date", F.lit(day).cast("date"))
-        self.lake.commit(tables)
-        counts = {f"{n}@{d}": self.lake.read_day(f"curated_{n}", d).count() for n, d in todo}
-        self.note("meta_curation_log", CURATED, [{"snapshot_date": d, "dataset": n, "curated_from": come[n, d], "row_count": counts[f"{n}@{d}"]} for n, d in todo], ["snapshot_date", "dataset"])
-        return counts
 
-    def models(self, folder: str | None = None) -> models.Context:
-        """The models over the newest curated version of each row; workbook rows stay one a day. With a folder, inputs and models
-        are written there, each once."""
+    def stage(self) -> None:
+        """Staging up to date: from the newest day of each model, from --from-day, or from scratch."""
+        staging.build(self.lake, self.from_day, self.full_models)
+
+    def _inputs(self, lake: Lake) -> dict[str, DataFrame]:
+        return {into: lake.read(name) for name, into in data_tests.STAGES.items()}
+
+    def models(self, store: Callable[[str, DataFrame], DataFrame] | None = None) -> models.Context:
+        """The models over staging; store keeps one under its name and gives it back."""
+        return models.Context(self._inputs(self.lake), self.as_of, store=store)
+
+    def check(self, context: models.Context) -> list[dict]:
+        """Every data test of the models, and that staging has the keys of the curated days; noted in the lake."""
+        # instants may lie two days beyond the reporting date at most
+        high = (date.fromisoformat(self.as_of) + timedelta(days=2)).isoformat()
+        found = data_tests.evaluate(lambda n: context[data_tests.STAGES.get(n, n)], data_tests.rules(high=high))
+        for name in staging.NAMES:
+            spec = staging.specs()[name]
+            curated = staging.source(self.lake, name, staging.days(self.lake, spec.dataset)).select(*spec.keys)
+            found = found.unionByName(data_tests.parity(name, curated, context[data_tests.STAGES[name]], [*spec.keys]))
+        rows = [r.asDict() | {"snapshot_date": self.day, "run_id": self.run_id} for r in found.collect()]
+        self.note("meta_data_tests", TESTS, rows, ["snapshot_date", "model", "test"])
+        return rows
+
+    def build(self) -> models.Context:
+        """Write every model, test what was written, and only then make it live, in one commit. What breaks raises, and the last
+        build stays."""
+        paths: dict[str, str | None] = {}
 
         def store(name: str, df: DataFrame) -> DataFrame:
-            df.write.parquet(f"{folder}/{name}")
-            return self.spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+            paths[name] = self.lake.stage(name, df)
+            return self.spark.read.schema(df.schema).parquet(paths[name])
 
-        def stage(name: str) -> DataFrame:
-            d = DATASETS[name]
-            df = self.lake.read(f"curated_{name}")
-            own = ["snapshot_date"] if name == "coach_rows" else []
-            return dedupe_latest(df, [d.key, *own], [C("_snapshot_date").desc(), *([C(f"{d.mark}_utc").desc_nulls_last()] if f"{d.mark}_utc" in df.columns else []), C("payload_hash")])
+        context = self.models(store)
+        failed = {f"{r['model']}: {r['test']}": r["failures"] for r in self.check(context) if r["failures"] and r["severity"] == "error"}
+        failed |= broken(context)
+        if failed:
+            raise ValueError(f"broken by rows: {failed}")
+        for name in models.MODELS:
+            context[name]
+        self.lake.publish(paths, whole=True)
+        return context
 
-        catalog = stage("trainings")
-        inputs = {"trainings": catalog, "modules": curation.modules(catalog), "participants": stage("participants"), "enrollments": stage("enrollments"), "events": stage("progress_events"), "responses": stage("survey_responses"), "assignments": stage("coach_rows")}
-        if folder:
-            inputs = {name: store(f"in_{name}", df) for name, df in inputs.items()}
-        return models.Context(inputs, self.as_of, store=store if folder else None)
+    def verify(self) -> list[str]:
+        """What a second build changes, and where an incremental staging differs from one made from scratch; nothing, if all is well."""
+        tables = [*data_tests.STAGES, *models.MODELS]
+        self.stage()
+        self.build()
+        first = self.lake.versions()[-1]
+        self.stage()
+        self.build()
+        again = self.lake.versions()[-1]
+        staging.build(self.lake, full=True)
+        self.build()
+        whole = self.lake.versions()[-1]
+        at = lambda v: rebuild.fingerprints(self.lake.at(v), tables)
+        one = at(first)
+        return [f"second build: {x}" for x in rebuild.differences(one, at(again))] + [f"full build: {x}" for x in rebuild.differences(one, at(whole))]
 
     def run(self, layer: str, client=None, book: str | None = None, out: str | None = None) -> int:
         """Exit code: 0 all went well, 1 the run failed, 2 some datasets failed and the rest is loaded (no reports then)."""
@@ -196,11 +282,11 @@ class Run:
             if layer in ("curated", "all"):
                 self.curate()
             if layer in ("reports", "all") and out and not failed:
-                with self.lake.scratch() as folder:
-                    context = self.models(folder)
-                    if found := broken(context):
-                        raise ValueError(f"assertions broken by rows: {found}")
-                    export({name: (title, table(context)) for name, (title, table) in ANALYSES.items()}, out)
+                self.stage()
+                context = self.build()
+                export({name: (title, table(context)) for name, (title, table) in ANALYSES.items()}, out)
+            if layer == "verify" and (found := self.verify()):
+                raise ValueError("; ".join(found))
         except Exception as e:  # noqa: BLE001 - logged and told by the exit code
             self.note("meta_runs", RUNS, [row | {"status": "FAILED", "finished_at": now(), "error": f"{type(e).__name__}: {e}"}], ["run_id"])
             return 1

@@ -156,9 +156,10 @@ def training_modules(trainings: DataFrame) -> DataFrame:
     return modules_contract().select(curation.modules(trainings).join(trainings.select("training_id", *rest), "training_id"))
 
 
-def build(lake: Lake, from_day: str | None = None, full: bool = False, only: list[str] | None = None) -> None:
-    """Bring the models up to date, each in a commit of its own, so that a model that fails leaves the others as they are."""
-    for name in only or NAMES:
-        lake.publish(refresh(lake, name, from_day, full))
-    if not only or "stg_trainings" in only:
-        lake.commit({"stg_training_modules": training_modules(lake.read("stg_trainings"))}, {"stg_training_modules": modules_contract()})
+def build(lake: Lake, from_day: str | None = None, full: bool = False) -> None:
+    """Bring all models up to date, in one commit, and then the modules, which are read from the trainings."""
+    paths: dict[str, str | None] = {}
+    for name in NAMES:
+        paths |= refresh(lake, name, from_day, full)
+    lake.publish(paths)
+    lake.commit({"stg_training_modules": training_modules(lake.read("stg_trainings"))}, {"stg_training_modules": modules_contract()})

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: UTC makes to_date(timestamp) a UTC date; ANSI is kept on, so unsafe casts must be spelt try_*.
@@ -28,3 +31,14 @@ def pin(spark: SparkSession) -> SparkSession:
     """Set on a session made elsewhere what results depend on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that driver and executors share. Only a local session may do without one."""
+    place = spark.conf.get("spark.checkpoint.dir", None)
+    if not place:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        place = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", place)
+    return f"{place.rstrip('/')}/{name}-{uuid.uuid4().hex}"

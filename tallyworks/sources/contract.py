@@ -16,7 +16,9 @@ class SchemaViolation(ValueError):
 class Contract:
     """Columns by name: a type as in DDL, with ! after it where a value must be there, and optionally the expression it is read from."""
 
-    def __init__(self, columns: dict[str, str | tuple[str, Column]]):
+    def __init__(self, columns: dict[str, str | tuple[str, Column]], open: bool = False):
+        """open: other columns may be there too, as they are."""
+        self.open = open
         of = {name: x if isinstance(x, tuple) else (x, None) for name, x in columns.items()}
         self.types = {name: kind.rstrip("!") for name, (kind, _) in of.items()}
         self.required = tuple(name for name, (kind, _) in of.items() if kind.endswith("!"))
@@ -35,9 +37,10 @@ class Contract:
         want = {f.name: f.dataType.simpleString() for f in self.schema}
         got = {f.name: f.dataType.simpleString() for f in df.schema}
         wrong = [f"{n} is {got[n]}, not {t}" for n, t in want.items() if n in got and got[n] != t]
-        if want.keys() != got.keys() or wrong or len(df.columns) != len(got):
-            raise SchemaViolation(f"missing {sorted(want.keys() - got.keys())}, unexpected {sorted(got.keys() - want.keys())}, {wrong}")
-        return df.select(*want)
+        extra = set() if self.open else got.keys() - want.keys()
+        if want.keys() - got.keys() or extra or wrong or len(df.columns) != len(got):
+            raise SchemaViolation(f"missing {sorted(want.keys() - got.keys())}, unexpected {sorted(extra)}, {wrong}")
+        return df if self.open else df.select(*want)
 
     def check_values(self, df: DataFrame) -> None:
         """One aggregate over the required columns; a null in one raises."""

@@ -4,9 +4,10 @@ import zipfile
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyworks.plans import coach
-from tallyworks.plans.runner import DATASETS, Run
+from tallyworks.plans.runner import DATASETS, Run, check_log
 from tallyworks.sources import export, workbook
 from tallyworks.sources.http import ApiError
 from tallyworks.sources.lake import Lake
@@ -86,8 +87,10 @@ def test_runs(spark, tmp_path):
     assert {k: v for k, v in status("2026-09-01").items() if v[0] != "NO_CHANGES"} == {"participants": ("LOADED", 2), "progress_events": ("LOADED", 1), "survey_responses": ("FAILED", None)}
     day = {r.participant_id: (r.city_clean, r.quality_flags, r.duplicate_id_count) for r in lake.read_day("curated_participants", "2026-09-01").collect()}
     assert day == {"1": ("Köln", [], 1), "3": ("Berlin", ["normalized_email_collision"], 1)}
-    context = Run(spark, lake, "2026-09-01").models()
-    assert context["participants"].count() == 3 and context["participants"].where("participant_id = '1'").first().city_clean == "Köln"
+    late = Run(spark, lake, "2026-09-01")
+    late.stage()
+    context = late.models()
+    assert context["participants"].count() == 3 and context["participants"].where("participant_id = '1'").first().city == "Köln"
     assert context["rpt_coach_unassigned_enrollments"].first().assigned_active_or_paused_enrollment_count == 2
 
     # a raw day that goes takes its curated day along; a shrunken full read is refused unless allowed
@@ -101,6 +104,29 @@ def test_runs(spark, tmp_path):
     assert {r.status: r["count"] for r in runs} == {"SUCCESS": 4, "PARTIAL_SUCCESS": 3}
     assert Run(spark, Lake(spark, f"{tmp_path}/none"), "2026-09-02").run("reports", out=str(out)) == 1
 
+    # a second build changes nothing, and one from scratch is the same; a day that is gone from the log is not read
+    assert not [r for r in lake.read("meta_curation_log").collect() if (r.dataset, r.snapshot_date) == ("progress_events", "2026-09-01")]
+    assert Run(spark, lake, "2026-09-02").run("verify") == 0
+    assert lake.read("fct_progress_events").count() == 2 and lake.describe("stg_enrollments")[0] == ("enrollment_id", "string", True)
+    tests = {(r.model, r.test): (r.severity, r.failures) for r in lake.read("meta_data_tests").where("snapshot_date = '2026-09-02'").collect()}
+    assert len(tests) > 90 and tests["stg_enrollments", "keys as curated"] == ("error", 0) and not any(n for s, n in tests.values() if s == "error")
+    # an error keeps the last build
+    was = lake.files("fct_enrollments")
+    stg = lake.read("stg_enrollments")
+    lake.publish({"stg_enrollments": lake.stage("stg_enrollments", stg.unionByName(stg))}, whole=True)
+    with pytest.raises(ValueError, match="stg_enrollments: enrollment_id unique"):
+        Run(spark, lake, "2026-09-03").build()
+    assert lake.files("fct_enrollments") == was
+
+
+def test_log_rows(spark):
+    row = {"snapshot_date": "2026-01-01", "dataset": "x", "run_id": "r", "status": "LOADED", "load_mode": "full", "records_fetched": 0, "row_count": 0}
+    check_log("meta_extraction_log", row)
+    check_log("meta_extraction_log", {"snapshot_date": "2026-01-01", "dataset": "x", "run_id": "r", "status": "FAILED", "error": "e"})
+    for wrong in ({"row_count": None}, {"status": "DONE"}, {"status": "FAILED"}, {"dataset": None}):
+        with pytest.raises(ValueError):
+            check_log("meta_extraction_log", row | wrong)
+
 
 def test_export_texts(tmp_path):
     values = [None, dt.date(2026, 1, 2), dt.datetime(2026, 1, 2, 3), 0.5, 2.0, 1 / 3, Decimal("1.50"), ["a", "b"], True]
