@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,19 +16,28 @@ MISSING = ("", "-", "--", "n/a", "null", "none", "k.a.", "k. a.")
 PARTICLES = ("am", "an", "auf", "bei", "der", "die", "das", "dem", "den", "im", "in", "ob", "unter", "vor", "von", "zu", "zum", "zur", "und", "a.", "d.")
 
 
-def _pairs() -> tuple[str, str]:
-    plain = {}
-    for letters, base in zip(
-        ("áàâãåāăą", "çćč", "ďđ", "éèêëēėęě", "íìîïīįı", "łľ", "ñńň", "óòôõøōő", "ŕř", "śšş", "ťţ", "úùûūůűų", "ýÿ", "źżž"), "acdeilnorstuyz", strict=True
-    ):
-        for letter in letters:
-            plain[letter] = base
-            if len(letter.upper()) == 1:
-                plain.setdefault(letter.upper(), base.upper())
-    return "".join(plain), "".join(plain.values())
-
-
-_FROM, _TO = _pairs()
+@cache
+def _decompositions() -> tuple[str, str, str, str]:
+    """How compatibility decomposition (NFKD) without combining marks changes single characters, by that rule.
+
+    (from, to, many, table): translate()'s arguments, marks at the end of `from` without a counterpart; a character class of
+    those that become several characters, and these with what they become, each as \x01 character \x02 text. Hangul
+    syllables stay as they are: what they decompose to is in no key.
+    """
+    one, none, many = {}, [], {}
+    for code in range(0x80, 0x110000):
+        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
+            continue
+        letter = chr(code)
+        plain = "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
+        if len(plain) > 1:
+            many[letter] = plain
+        elif not plain:
+            none.append(letter)
+        elif plain != letter:
+            one[letter] = plain
+    members = "".join(f"\\x{{{ord(c):X}}}" for c in many)
+    return "".join(one) + "".join(none), "".join(one.values()), f"[{members}]", "".join(f"\x01{c}\x02{t}" for c, t in many.items()) + "\x01"
 
 
 _MISSING = rf"(?iU)^\s*({'|'.join(map(re.escape, MISSING))})\s*$"
@@ -52,16 +63,21 @@ def clean_text(x: Column) -> Column:
 
 
 def transliterate(x: Column) -> Column:
-    """German letters spelt out, Latin accents dropped."""
+    """German letters spelt out; of all others what NFKD leaves without combining marks (é e, ș s, ﬁ fi, ² 2; ø, ł and ı stay)."""
     for a, b in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("Ä", "Ae"), ("Ö", "Oe"), ("Ü", "Ue"), ("ß", "ss"), ("ẞ", "SS")):
         x = F.replace(x, F.lit(a), F.lit(b))
-    return F.regexp_replace(F.translate(x, _FROM, _TO), r"\p{Mn}+", "")
+    before, after, many, table = _decompositions()
+
+    def spelt(letter: Column) -> Column:
+        at = F.instr(F.lit(table), F.concat(F.lit("\x01"), letter, F.lit("\x02")))
+        return F.when(at > 0, F.substring_index(F.substr(F.lit(table), at + 3), "\x01", 1)).otherwise(letter)
+
+    # the few texts with letters that become several go letter by letter
+    rest = lambda t: F.when(t.rlike(many), F.array_join(F.transform(F.regexp_extract_all(t, F.lit("(?s)."), F.lit(0)), spelt), "")).otherwise(t)
+    return F.when(x.rlike(r"[^\x00-\x7F]"), once(F.translate(x, before, after), rest)).otherwise(x)
 
 
 def ascii_fold(x: Column) -> Column:
-    # combining umlauts are spelt out like the letters they make
-    for mark in "aouAOU":
-        x = F.replace(x, F.lit(f"{mark}̈"), F.lit({"a": "ä", "o": "ö", "u": "ü", "A": "Ä", "O": "Ö", "U": "Ü"}[mark]))
     return F.lower(transliterate(x))
 
 

