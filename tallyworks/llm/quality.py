@@ -17,6 +17,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,6 +32,8 @@ ROUNDS = 3
 STEPS = 80
 CHAIN = 48
 THRESHOLD = 0.3
+#: rows and bytes of text that are scored together
+ROWS, BYTES = 512, 1 << 22
 #: upper limits of each measure's levels
 LEVELS = (
     (0.05, 0.15, 0.3, 0.6),  # upper-case ASCII letters, of all bytes
@@ -226,6 +229,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(lev, lengths, np.array([r[1] for r in few], np.int64), good, (float(totals.get(False, 0)), float(totals.get(True, 0))))
 
 
+def rounds(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Spans of rows that are scored together: up to ROWS of them, with up to BYTES of text or one row, since the work on a line takes
+    many times its length."""
+    out, start, total = [], 0, 0.0
+    for i, n in enumerate(sizes):
+        if i > start and (total + n > BYTES or i - start >= ROWS):
+            out.append((start, i))
+            start, total = i, 0.0
+        total += n
+    return [*out, (start, len(sizes))] if len(sizes) else out
+
+
 def score(docs: DataFrame, model: LineCrf, text_col: str = "text", out: str = "score") -> DataFrame:
     """docs with `out`: the probability of label 1. A null text is scored as an empty one; every column passes through."""
     fields = [f for f in docs.schema.fields if f.name != out]
@@ -236,8 +251,9 @@ def score(docs: DataFrame, model: LineCrf, text_col: str = "text", out: str = "s
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            sizes = np.nan_to_num(pc.binary_length(batch.column(at).cast(pa.binary())).to_numpy(zero_copy_only=False).astype(np.float64))
+            for start, end in rounds(sizes):
+                part = batch.slice(start, end - start)
                 texts = [t or b"" for t in part.column(at).cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(texts), pa.float64())], names=[*part.schema.names, out])
 

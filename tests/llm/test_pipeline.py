@@ -1,7 +1,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from tallyworks.llm import packing, quality
+from tallyworks.llm import mixing, packing, quality
 
 from .test_linedup import plain as plain_lines
 from .test_packing import held
@@ -47,3 +47,14 @@ def test_stages_on_odd_rows(spark, tmp_path):
             stage(spark, docs, str(tmp_path)).write.mode("overwrite").parquet(f"{tmp_path}/{len(some)}{name}")
             docs = spark.read.parquet(f"{tmp_path}/{len(some)}{name}")
         assert docs.count() == (2 if some else 0)
+
+
+def test_repeated_rows_are_mixed_as_one_document(spark):
+    """A row that comes 320 times: as many words go out as the mix takes, not as many for each row."""
+    rows = [(1, "one two three four five", "en", "a", 23)] * 320 + [(2, "x " * 5, "en", None, 10)] * 3 + [(i, f"w{i} " * 10, "de", "b", 40) for i in range(10, 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    taken = {r[0]: r[1] for r in mixing.mix(docs).groupBy("doc_id").sum("taken").collect()}
+    words = Counter()
+    for r in corpus_pipeline.mix_sources(spark, docs, "").collect():
+        words[r.doc_id] += len(r.text.split())
+    assert words == Counter({i: n for i, n in taken.items() if n}) and sum(words.values()) <= 320 * 5 + 3 * 5 + 400

@@ -58,3 +58,9 @@ def test_odd_rows(spark):
     none = quality.train(docs, labels.limit(0))
     assert {r.score for r in quality.score(docs, none).collect()} == {0.5}
     assert quality.score(docs.limit(0), none).count() == 0
+
+
+def test_rounds_are_cut_by_bytes_and_rows():
+    sizes = np.array([0.0, 3e6, 3e6, 9e6, 1.0, 1.0])
+    assert quality.rounds(sizes) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert quality.rounds(np.zeros(1100)) == [(0, 512), (512, 1024), (1024, 1100)] and quality.rounds(np.empty(0)) == []
