@@ -1,9 +1,11 @@
 """Personal data by weak supervision; built-in functions only.
 
 Regular expressions propose spans; regex, gazetteer, context, boundary and shape labelers vote on each (1, 0 abstain, -1). How
-far each labeler can be trusted for each kind is estimated by expectation maximisation over the counts of vote patterns,
-of which there are at most KINDS * 3**5 * LENGTHS whatever the corpus, so that they fit the driver. Its posteriors train the
-final span classifier, a naive Bayes model over votes and lengths whose log odds are added up in each document's row.
+far each labeler can be trusted for each kind, and apart for true and for false spans, is estimated by expectation maximisation
+over the counts of vote patterns, of which there are at most KINDS * 3**5 * LENGTHS whatever the corpus, so that they fit the
+driver. Spans on which a kind's own check (Luhn, digits, octets) has decided anchor it; a labeler that says the same of anything
+ends without weight. Its posteriors train the final span classifier, a naive Bayes model over votes and lengths whose log odds
+are added up in each document's row.
 Spans that a strict pattern finds (the base) stay whatever the model says; it adds others. Nothing is shuffled but the
 pattern counts.
 
@@ -25,6 +27,7 @@ KINDS = ("email", "ip", "card", "phone", "name", "secret")
 LENGTHS = 4
 VOTES = ("v_regex", "v_gazetteer", "v_context", "v_boundary", "v_shape")
 CONTEXT = 40
+SMOOTH = 0.01
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: kind, expression, whether its matches can be base
@@ -36,6 +39,7 @@ PATTERNS = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+[\x20]?(?:\[at\]|\(at\)|\{at\})[\x20]?[A-Za-z0-9-]{1,63}+(?:(?:\.|[\x20]?(?:\[dot\]|\(dot\))[\x20]?)[A-Za-z0-9-]{1,63}+)++", "at"),
     ("phone", r"(?<![0-9+().-])(?<![0-9+().-][\x20])(?:\([0-9]{3}\)[\x20]?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])", None),
     ("name", r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?[\x20]\p{Lu}\p{Ll}{1,30}+(?:[\x20]\p{Lu}\p{Ll}{1,30}+)?", None),
+    ("card", r"(?<![0-9])(?<![0-9][./_])[0-9]{4}(?:\.[0-9]{4}\.[0-9]{4}\.|/[0-9]{4}/[0-9]{4}/|_[0-9]{4}_[0-9]{4}_)[0-9]{4}(?![./_]?[0-9])", None),
     ("secret", r"(?i)(?<![A-Za-z])(?:token|secret|passwd|password|api[_-]?key)[\x20]?[=:][\x20]?[\x22']?[A-Za-z0-9_/+-]{16,128}+", None),
 )
 BASE_PATTERNS = 4
@@ -95,20 +99,21 @@ def _spans(text: Column, matches: Column, pieces: Column, kind: str, base: bool)
 
     def one(start, i):
         m, ctx, after = F.get(matches, i), F.right(F.get(pieces, i), F.lit(CONTEXT)), F.substring(F.get(pieces, i + 1), 1, 1)
-        strict = F.coalesce(_strict(kind, m), F.lit(False)) if base else F.lit(False)
+        checked = base or kind == "card"
+        strict = F.coalesce(_strict(kind, m), F.lit(False)) if checked else F.lit(False)
         digits = _digits(m)
         say = lambda good, bad: F.when(bad, -1).when(good, 1).otherwise(0)
         edge = F.right(ctx, F.lit(1)).rlike(r"[\p{L}\p{N}_]") | after.rlike(r"[\p{L}\p{N}_]")
         flat = (F.length(digits) > 3) & (F.length(F.replace(digits, F.substring(digits, 1, 1), F.lit(""))) == 0)
         votes = (
-            F.when(strict, 1).otherwise(F.lit(-1 if base else 0)),
+            F.when(strict, 1).otherwise(F.lit(-1 if checked else 0)),
             F.when(m.rlike(GAZETTEER[kind]), 1).otherwise(F.lit(-1 if kind in ("card", "secret") else 0)),
             say(ctx.rlike(CONTEXT_WORDS[kind]) | (m.rlike(CONTEXT_WORDS[kind]) if kind == "secret" else F.lit(False)), ctx.rlike(AGAINST)),
             say(~edge, edge),
             say(F.length(m).between(6, 64) & ~flat, flat | (F.length(m) > 128)),
         )
         size = F.least(F.floor(F.length(m) / 10), F.lit(LENGTHS - 1)).cast("int")
-        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("s"), (start + F.length(m)).alias("e"), strict.alias("base"), *[v.cast("int").alias(n) for n, v in zip(VOTES, votes, strict=True)], size.alias("size"))
+        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("s"), (start + F.length(m)).alias("e"), (strict if base else F.lit(False)).alias("base"), *[v.cast("int").alias(n) for n, v in zip(VOTES, votes, strict=True)], size.alias("size"))
 
     return F.transform(starts, one)
 
@@ -130,46 +135,51 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _clip(p: float) -> float:
-    return min(max(p, 0.02), 0.98)
+    return min(max(p, 0.002), 0.998)
 
 
 def fit(patterns: list[tuple[tuple[int, ...], int, int]], rounds: int = 50) -> dict[int, tuple[float, list[dict[int, float]]]]:
     """From (votes, size, count) of each kind's patterns: kind -> (bias, log odds by value for each vote and for the size).
 
-    patterns: ((kind, *votes), size, count). EM gives each labeler one accuracy per kind over the votes it does not abstain from,
-    starting at 0.8; the posteriors then weigh the naive Bayes counts, smoothed by one.
+    patterns: ((kind, *votes), size, count). EM gives each labeler two rates per kind: how often it says 1 of true and of false
+    spans, where it does not abstain. Both start from the rate over all its votes, the odds four times higher and lower, so that
+    only a vote that it does not always cast says much, and stay in the counts as ten votes. Where the regex has voted, its word stands (anchors); the share of true spans is counted on the others, from 0.8. The posteriors then weigh the naive
+    Bayes counts, smoothed by so little that one failed check among thousands that pass still tells.
     """
     by_kind = defaultdict(list)
     for (kind, *votes), size, n in patterns:
         by_kind[kind].append((votes, size, n))
     models = {}
     for kind, rows in by_kind.items():
-        accuracy, prior = [0.8] * len(VOTES), 0.5
+        rates = [(sum(n for v, _, n in rows if v[j] > 0) + 1) / (sum(n for v, _, n in rows if v[j]) + 2) for j in range(len(VOTES))]
+        start = [(4 * r / (1 + 3 * r), r / (4 - 3 * r)) for r in rates]
+        says, prior = [(_clip(t), _clip(f)) for t, f in start], 0.8
         post: list[float] = []
         for _ in range(rounds):
             post = []
             for votes, _, _ in rows:
                 odds = math.log(prior / (1 - prior))
-                for a, v in zip(accuracy, votes, strict=True):
-                    odds += v * math.log(a / (1 - a))
-                post.append(1 / (1 + math.exp(-odds)))
-            total = sum(n for _, _, n in rows)
-            prior = _clip(sum(p * n for p, (_, _, n) in zip(post, rows, strict=True)) / total)
+                for (t, f), v in zip(says, votes, strict=True):
+                    odds += math.log(t / f) if v > 0 else math.log((1 - t) / (1 - f)) if v < 0 else 0.0
+                post.append(float(votes[0] > 0) if votes[0] else 1 / (1 + math.exp(-odds)))
+            weighed = [(votes, p * n, (1 - p) * n) for p, (votes, _, n) in zip(post, rows, strict=True)]
+            free = [(t, f) for votes, t, f in weighed if not votes[0]]
+            prior = _clip((sum(t for t, _ in free) + 1) / (sum(t + f for t, f in free) + 2))
             for j in range(len(VOTES)):
-                right = sum(n * (p if votes[j] > 0 else 1 - p) for p, (votes, _, n) in zip(post, rows, strict=True) if votes[j])
-                cast = sum(n for votes, _, n in rows if votes[j])
-                # a labeler is taken to be better than chance; the start counts as ten votes
-                accuracy[j] = max(0.5, _clip((right + 8) / (cast + 10)))
-        yes = sum(p * n for p, (_, _, n) in zip(post, rows, strict=True)) + 1
-        no = sum((1 - p) * n for p, (_, _, n) in zip(post, rows, strict=True)) + 1
+                cast = [(v[j] > 0, t, f) for v, t, f in weighed if v[j]]
+                true = (sum(t for up, t, _ in cast if up) + 10 * start[j][0]) / (sum(t for _, t, _ in cast) + 10)
+                false = (sum(f for up, _, f in cast if up) + 10 * start[j][1]) / (sum(f for _, _, f in cast) + 10)
+                says[j] = (_clip(true), _clip(false))
+        yes = sum(p * n for p, (_, _, n) in zip(post, rows, strict=True)) + SMOOTH
+        no = sum((1 - p) * n for p, (_, _, n) in zip(post, rows, strict=True)) + SMOOTH
         weights = []
         for j in range(len(VOTES) + 1):
-            counts = defaultdict(lambda: [1.0, 1.0])
+            counts = defaultdict(lambda: [SMOOTH, SMOOTH])
             for p, (votes, size, n) in zip(post, rows, strict=True):
                 value = votes[j] if j < len(VOTES) else size
                 counts[value][0] += p * n
                 counts[value][1] += (1 - p) * n
-            k = 3 if j < len(VOTES) else LENGTHS
+            k = SMOOTH * (3 if j < len(VOTES) else LENGTHS)
             weights.append({v: math.log(a / (yes + k)) - math.log(b / (no + k)) for v, (a, b) in counts.items()})
         models[kind] = (math.log(yes / no), weights)
     return models
