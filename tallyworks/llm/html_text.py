@@ -32,6 +32,7 @@ _QUOTED = re.compile(r"<(/?)([a-zA-Z][\w:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'
 _START = re.compile(r"<(/?)([a-zA-Z][\w:-]*+)")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+")
 _PART = re.compile(r"[a-z]+")
+_UNSEEN = re.compile(r"display\s*+:\s*+none", re.I)
 #: elements whose content is no text
 _RAW = frozenset("script style noscript template textarea svg iframe select title object video audio canvas".split())
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*+>?", re.I) for name in _RAW}
@@ -59,7 +60,7 @@ def features(name: str, attributes: str, parent: str = "") -> Features:
         out.append(f"{parent}>{name}")
     for m in _ATTRIBUTE.finditer(attributes) if attributes and not attributes.isspace() else ():
         key = m[1].lower()
-        if key == "hidden" or key == "aria-hidden" and "true" in (m[2] or ""):
+        if key == "hidden" or key == "aria-hidden" and "true" in (m[2] or "") or key == "style" and _UNSEEN.search(m[2] or ""):
             out.append("hidden")
         elif key in ("class", "id", "role", "aria-label", "itemprop"):
             for token in re.sub(r"([a-z])([A-Z])", r"\1-\2", (m[2] or "").strip("\"'")).lower().split():
@@ -128,18 +129,55 @@ def walk(html: str, weights: dict[str, float], bias: float = 0.0, learning: bool
     """Events of a page: ("tag", name, in island) and ("block", text, score, in island, share of words in links, features, content).
 
     The score of the elements around is kept up as they open and close; a feature counts once however many of them have it.
-    Features come with a block if learning. Where elements that look like content hold PART of the page's words, all else has the
+    Features come with a block if learning. No class speaks against the article that holds most of the page's words. Where elements that look like content hold PART of the page's words, all else has the
     feature OUTSIDE.
     """
     events = list(tokens(html))
+    body = frozenset(i for i in _holders(events) if _may_be_body(*events[i][1:], weights))
     words = Counter()
-    for e in _events(events, weights, bias, False, False):
+    for e in _events(events, weights, bias, False, False, body):
         if e[0] == "block" and not e[3]:
             words[e[6]] += e[1].count(" ") + 1
-    return _events(events, weights, bias, learning, words[True] > PART * words.total())
+    return _events(events, weights, bias, learning, words[True] > PART * words.total(), body)
 
 
-def _events(events: list, weights: dict[str, float], bias: float, learning: bool, outside: bool):
+def _holders(events: list) -> list[int]:
+    """Where the elements start that hold more than half of the page's words outside links. They are nested in each other."""
+    total, names = 0, Counter()
+    open_: list[tuple[str, int, int]] = []  # name, event, words before it
+    held: list[tuple[int, int]] = []
+
+    def pop() -> str:
+        name, at, before = open_.pop()
+        names[name] -= 1
+        held.append((total - before, at))
+        return name
+
+    for i, (kind, name, _) in enumerate(events):
+        if kind == "text":
+            total += 0 if names["a"] else len(name.split())
+        elif kind == "open" and name not in _VOID:
+            if name == "a" and names["a"]:
+                continue
+            open_.append((name, i, total))
+            names[name] += 1
+        elif kind == "close" and names[name]:
+            while pop() != name:
+                pass
+    while open_:
+        pop()
+    return [at for n, at in held if 2 * n > total]
+
+
+def _may_be_body(name: str, attributes: str, weights: dict[str, float]) -> bool:
+    """Whether an element that holds most of the page is its article: by its tag, or by a whole class that speaks for content."""
+    if name in ("article", "main"):
+        return True
+    whole = (t for m in _ATTRIBUTE.finditer(attributes) if m[1].lower() in ("class", "id") for t in (m[2] or "").strip("\"'").lower().split())
+    return name in _GENERIC and any(weights.get(f".{t}", 0.0) > LOOKS for t in whole)
+
+
+def _events(events: list, weights: dict[str, float], bias: float, learning: bool, outside: bool, body: frozenset[int]):
     active: Counter = Counter()
     scopes: Counter = Counter()
     score = bias
@@ -188,7 +226,7 @@ def _events(events: list, weights: dict[str, float], bias: float, learning: bool
         if top.opens:
             add(apart)
 
-    for kind, name, attributes in events:
+    for at, (kind, name, attributes) in enumerate(events):
         if kind == "text":
             parts.append(name)
             if (k := len(name.split())) > 0:
@@ -233,6 +271,8 @@ def _events(events: list, weights: dict[str, float], bias: float, learning: bool
         if name in _VOID:
             continue
         own = features(name, attributes, outer.name)
+        if at in body:  # its classes name the article's topic or the page's parts; they don't speak against it
+            own = tuple(f for f in own if not f.startswith(".") or weights.get(f, 0.0) >= 0)
         add(own)
         looks = name in ("article", "main") or name not in _SMALL and sum(weights.get(f, 0.0) for f in {*own}) > LOOKS
         content = looks and score - (weights.get(OUTSIDE, 0.0) if active[OUTSIDE] else 0.0) >= 0
@@ -242,7 +282,9 @@ def _events(events: list, weights: dict[str, float], bias: float, learning: bool
         scope = name in _SCOPE
         counted = scopes if scope else outer.inner
         counted[name] += 1
-        stack.append(_Open(name, own, max(outer.best, score), outer.island or outer.best > surely and score < 0, outer.content or content, opens, counted, Counter() if scope else outer.inner))
+        # a header may hold the title: what is in it decides
+        turns = outer.best > surely and score < 0 and name != "header"
+        stack.append(_Open(name, own, max(outer.best, score), outer.island or turns, outer.content or content, opens, counted, Counter() if scope else outer.inner))
     yield from flush()
 
 
@@ -264,16 +306,16 @@ UNSEEN, ISLAND = -0.5, -1.0
 
 # what classes, ids and roles are called, by the kind of matter
 KINDS = {
-    "menu": "nav navbar navigation menu breadcrumb breadcrumbs topbar toolbar pagination pager skip toc".split(),
-    "head": "header masthead banner branding logo hero".split(),
-    "foot": "footer copyright legal colophon contentinfo imprint".split(),
-    "side": "sidebar aside widget related recommended recommendations trending popular complementary archive tagcloud tags teaser".split(),
+    "menu": "nav navbar navigation menu breadcrumb breadcrumbs topbar toolbar pagination pager skip toc navi hauptmenue menue navegacion".split(),
+    "head": "header masthead banner branding logo hero kopf kopfzeile entete cabecera encabezado".split(),
+    "foot": "footer copyright legal colophon contentinfo imprint impressum fuss fusszeile pied pie".split(),
+    "side": "sidebar aside widget related recommended recommendations trending popular complementary archive tagcloud tags teaser seitenleiste randspalte lateral laterale".split(),
     "note": "notice cookie cookies consent gdpr alert privacy disclaimer popup modal overlay dialog toast paywall".split(),
     "ad": "ad ads advert advertisement adbox adsbygoogle sponsor sponsored promo promotion commercial".split(),
     "form": "form newsletter subscribe signup login search register contact poll".split(),
-    "talk": "comment comments reply replies discussion disqus respond feedback thread responses reactions".split(),
+    "talk": "comment comments reply replies discussion disqus respond feedback thread responses reactions kommentar kommentare commentaire commentaires comentario comentarios".split(),
     "share": "share social sharing follow byline meta author tools print".split(),
-    "good": "content article post entry main story body text document prose primary blog news single".split(),
+    "good": "content article post entry main story body text document prose primary blog news single inhalt beitrag artikel contenu contenido texte texto".split(),
 }
 PAGES = 60
 
@@ -314,8 +356,16 @@ class _Page:
             out.append(self.r.choice([w, w, w, f"<b>{w}</b>", f"<a href=u>{self.words('c', 1, 4)}</a> {w}", f"<em>{w}</em>", f'<span class="{self.r.choice(KINDS[self.r.choice(list(KINDS))])}">{self.words("c", 1, 3)}</span> {w}', f"{w}<br>"]))
         return " ".join(out)
 
+    def title(self) -> str:
+        """A heading, alone or in a header of its own; a class of a heading may hold any word, as topics do."""
+        name, any_ = self.r.choice(KINDS["good"]), self.r.choice(KINDS[self.r.choice(list(KINDS))])
+        tag, mark = self.r.choice(["h1", "h1", "h2"]), self.r.choice(["", "", f' class="{name}-title"', f' class="{any_}-title"'])
+        head = f"<{tag}{mark}>{self.words('c', 2, 8)}</{tag}>"
+        around = self.r.choice(["header", "div"])
+        return self.r.choice([head, head, f'<{around} class="{name}-header">{head}</{around}>'])
+
     def content(self) -> str:
-        parts = [f"<h1>{self.words('c', 2, 8)}</h1>"] if self.r.random() < 0.8 else []
+        parts = [self.title()] if self.r.random() < 0.8 else []
         for _ in range(self.r.randint(2, 9)):
             kind = self.r.random()
             if kind < 0.65:
@@ -357,6 +407,8 @@ class _Page:
             "share": lambda: self.r.choice([self.links(2, 4), x(2, 6), f"<p>{x(2, 6)}</p>"]),
             "odd": lambda: self.r.choice([x(2, 30), f"<p>{x(2, 30)}</p>", f"<h3>{x(1, 4)}</h3>{self.links()}"]),
         }[kind]()
+        if kind in ("note", "menu", "odd") and self.r.random() < 0.15:
+            mark += self.r.choice([" hidden", ' style="display: none"', ' aria-hidden="true"'])
         return f"<{tag}{mark}>{inner}</{tag}>"
 
     def some(self, *kinds: str, share: float = 0.6) -> str:
@@ -380,7 +432,8 @@ def _classes(p: _Page) -> str:
     tag, mark = p.r.choice(["div", "section"]), ""
     while not mark:
         mark = p.mark("good")
-    return f"<body><div>{p.some('head', 'menu')}</div><div><{tag}{mark}><div>{p.mixed()}</div></{tag}>{p.some('odd', 'side', 'talk', 'ad')}</div>{p.some('form', 'note', 'foot')}</body>"
+    head = f"<header class='{p.r.choice(KINDS['good'])}-header'><h1>{p.words('c', 2, 8)}</h1></header>" if p.r.random() < 0.3 else ""
+    return f"<body><div>{p.some('head', 'menu')}</div><div>{head}<{tag}{mark}><div>{p.mixed()}</div></{tag}>{p.some('odd', 'side', 'talk', 'ad')}</div>{p.some('form', 'note', 'foot')}</body>"
 
 
 def _main(p: _Page) -> str:

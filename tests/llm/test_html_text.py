@@ -90,3 +90,33 @@ def test_odd_rows(spark):
     texts = [r.text for r in got]
     assert texts[:3] == ["", "", "no markup at all"] and len(texts[3]) == 2199999 and texts[5:] == ["", "", ""]
     assert html_text.extract_pages(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+BODY = "<h1>About the town</h1><p>The first of the paragraphs of this text</p><p>And then the second one of them</p>"
+WANT = "About the town\n\nThe first of the paragraphs of this text\n\nAnd then the second one of them"
+WORDS = sorted({w for words in html_text.KINDS.values() for w in words})
+
+
+def test_no_class_word_loses_the_article():
+    page = "<body><nav><ul><li><a>Home</a></li><li><a>News</a></li></ul></nav>{}<footer><p>All rights reserved</p></footer></body>"
+    lost = [w for w in WORDS if html_text.extract(page.format(f'<article class="{w}">{BODY}</article>')) != WANT]
+    lost += [w for w in WORDS if html_text.extract(page.format(f'<article class="post tag-{w}">{BODY}</article>')) != WANT]
+    lost += [w for w in WORDS if html_text.extract(page.format(f'<div class="post category-{w}">{BODY}</div>')) != WANT]
+    assert not lost
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<article class="post"><header class="entry-header"><h1>The Title</h1></header><div class="entry-content">{BODY}</div></article>', f"The Title\n\n{WANT}"),
+        (f'<div id="post-7"><header class="entry-header"><h2>The Title</h2></header><div class="entry-content">{BODY}</div></div>', f"The Title\n\n{WANT}"),
+        (f'<body><header class="site-header"><h1>The Site</h1></header><div class="entry-content">{BODY}</div></body>', WANT),
+        (f'<div class="post"><h2 class="share-title">Share of wallet</h2>{BODY}</div>', f"Share of wallet\n\n{WANT}"),
+        (f'<div id="kopf">Startseite Kontakt</div><div id="inhalt">{BODY}</div><div id="fuss">Impressum</div>', WANT),
+        (f'<article>{BODY}<div style="display:none">Not to be seen by anybody here</div></article>', WANT),
+        (f'<article>{BODY}</article><section class="comments">' + "<article class='comment'><p>I liked it so much</p></article>" * 30 + "</section>", WANT),
+        (f'<article class="post">{BODY}</article><div class="comments">' + "<p>I liked it so much</p>" * 30 + "</div>", WANT),
+    ],
+)
+def test_what_pages_do(page, text):
+    assert html_text.extract(page) == text
