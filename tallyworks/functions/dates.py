@@ -60,5 +60,10 @@ def quarter_label(x: Column) -> Column:
     return F.concat(F.date_format(x, "yyyy"), F.lit("-Q"), F.quarter(x).cast("string"))
 
 
+def in_running_quarter(x: Column, as_of: Column) -> Column:
+    """Whether the day lies in the quarter of as_of or later, so that its figures are not final. Null if either is."""
+    return quarter_start(x) >= quarter_start(as_of)
+
+
 def days_between(start: Column, end: Column) -> Column:
     return F.datediff(end, start).cast("bigint")

@@ -30,6 +30,12 @@ def with_total(df: DataFrame, key: str, aggs: list[Column], label: str = "ALL")
     return out.withColumn(key, F.when(F.col("is_total") == 1, label).otherwise(F.col(key)))
 
 
+def hash_pick(df: DataFrame, key: str, count: int, offset: int = 0) -> DataFrame:
+    """`count` rows after `offset` in the order of the key's MD5 as text, then the key: the same rows on every run, unrelated to what
+    they hold. A null key hashes as an empty text and comes first among equals. Spark keeps offset + count rows a task."""
+    return df.orderBy(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.col(key).asc_nulls_first()).offset(offset).limit(count)
+
+
 def top_groups(df: DataFrame, size: Column, least: int, order: list[Column], k: int) -> DataFrame:
     return df.where(size >= least).orderBy(*order).limit(k)
 

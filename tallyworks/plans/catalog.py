@@ -132,6 +132,13 @@ def nps_pooled(spark, d):
     return out.select("seg", "valid_count", numbers.share(100 * (C("p") - C("q")), C("valid_count")).alias("nps"))
 
 
+@query(f"SELECT *, CAST(quarter_start AS DATE) >= (SELECT CAST(date_trunc('quarter', max(o_orderdate)) AS DATE) FROM orders) AS is_partial FROM ({NPS})")
+def nps_partial_quarter(spark, d):
+    as_of = T(spark, d, "orders").agg(F.max("o_orderdate").alias("as_of"))
+    out = nps_by_quarter(spark, d).crossJoin(F.broadcast(as_of))  # one row
+    return out.withColumn("is_partial", dates.in_running_quarter(C("quarter_start"), C("as_of"))).drop("as_of")
+
+
 LINE_ORDER = "l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_quantity DESC, l_discount DESC, l_tax DESC"
 
 
@@ -236,6 +243,11 @@ def limit_offset_pick(spark, d):
     return T(spark, d, "customer").orderBy(C("c_acctbal").desc(), "c_custkey").offset(20).limit(10).select("c_custkey", "c_name")
 
 
+@query("SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 200 OFFSET 100")
+def hash_pick(spark, d):
+    return rows.hash_pick(T(spark, d, "orders"), "o_orderkey", 200, 100).select("o_orderkey", "o_custkey", C("o_totalprice").cast("double").alias("o_totalprice"))
+
+
 @query("SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_orderstatus = 'F' AND o_custkey = c_custkey")
 def conditional_left_join(spark, d):
     return T(spark, d, "orders").join(T(spark, d, "customer"), (C("o_orderstatus") == "F") & (C("o_custkey") == C("c_custkey")), "left").select("o_orderkey", "c_name")
