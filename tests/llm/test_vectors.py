@@ -1,6 +1,6 @@
 import numpy as np
 
-from tallyworks.llm import nndescent, vamana
+from tallyworks.llm import common, nndescent, vamana
 
 from .test_simhash import plain_components
 
@@ -62,3 +62,25 @@ def test_search_recall_and_odd_rows(spark):
     few = spark.createDataFrame(rows[:5] + rows[-4:-2], SCHEMA)
     assert [r.vec_id for r in nndescent.nearest(few).where("query_id = 0").orderBy("vec_id").collect()] == [1, 2, 3, 4]
     assert nndescent.nearest(few.limit(0)).count() == 0
+
+
+def test_steps_give_the_same_links_and_leave_no_vectors(spark, tmp_path, monkeypatch):
+    """Many small steps, blocks and wide shards: links as by brute force, and what stays on disk is less than the vectors."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 32))
+    x = np.vstack([x, x[rng.integers(0, 60, 500)] + rng.normal(size=(500, 32)) * 0.2]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1)[:, None]
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    got = {r.vec_id: r.n_links for r in vamana.link(df, block=700, search=1000, send=1).collect()}
+    assert (np.array([got[i] for i in range(len(x))]) <= want).all() and sum(got.values()) >= 0.99 * want.sum() > 0
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 0.5 * x.nbytes
+
+
+def test_steps_are_ranges_of_all_units():
+    assert vamana._steps(np.array([], float), 10) == []
+    rows = np.array([3, 4, 20, 1, 1, 8, 9], float)
+    steps = vamana._steps(rows, 10)
+    assert [s for s, _ in steps] == [0, *[e for _, e in steps[:-1]]] and steps[-1][1] == len(rows) and len(steps) > 3
+    assert all(rows[a:b].sum() <= 10 + rows.max() for a, b in steps)
