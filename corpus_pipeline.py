@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm import linedup, mixing, packing, quality, shingles, simhash
-from tallyworks.llm.common import materialize
+from tallyworks.llm.common import drop_read, materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: SQL can express neither the classifier nor packing; tests/llm/test_pipeline.py holds the stages against brute force.
@@ -39,8 +39,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     text with the smallest hash stays. Repeated rows share one fate. Near are texts within op3's 2 bits and texts whose five-word shingles have a similarity of 0.8 or more.
     """
     key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")))
-    groups = simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key", also=shingles.near_links(docs))
-    goes = groups.where("key <> component_id").select("key.doc_id", "key.th").distinct()
+    also = shingles.near_links(docs)
+    groups = simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key", also=also)
+    goes = materialize(groups.where("key <> component_id").select("key.doc_id", "key.th").distinct(), "pipeline-goes")
+    drop_read(groups)
+    drop_read(also)
     out = docs.select(*COLUMNS, key["th"].alias("th"))
     return out.join(goes, ["doc_id", "th"], "left_anti").select(*COLUMNS)
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import batches_of, materialize
+from .common import batches_of, drop_read, drop_tables, materialize
 from .components import components
 from .simhash import SEED, _settle, _signed, fingerprint
 
@@ -170,7 +170,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, sigs: DataFrame) -> DataFrame:
     apart = _apart(pairs, sigs)
     none = F.lit(None).cast("long")
     far = apart.select("a", "b", none.alias("fa"), none.alias("fb"), F.lit(False).alias("near"))
-    return _compared(pairs.join(apart, ["a", "b"], "left_anti"), texts, sigs).unionByName(far)
+    compared = _compared(pairs.join(apart, ["a", "b"], "left_anti"), texts, sigs)
+    out = materialize(compared.unionByName(far), "shingles-tried")
+    drop_tables(compared, apart)
+    return out
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -188,7 +191,9 @@ def _compared(pairs: DataFrame, texts: DataFrame, sigs: DataFrame) -> DataFrame:
     side = lambda k: some.select(F.col("node").alias(k), F.col("fp").alias(f"f{k}"), F.col("t").alias(f"t{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "fb", "ta", "tb")
     with batches_of(pairs.sparkSession, ROWS):
-        return materialize(both.mapInArrow(run, "a long, b long, fa long, fb long, near boolean"), "shingles-pairs")
+        out = materialize(both.mapInArrow(run, "a long, b long, fa long, fb long, near boolean"), "shingles-pairs")
+    drop_tables(some)
+    return out
 
 
 def near_links(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -197,18 +202,26 @@ def near_links(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text: Column = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
     with batches_of(docs.sparkSession, ROWS):
-        sigs = materialize(signatures(texts), "shingles-rows").dropDuplicates(["node"])
-    sigs = materialize(sigs.where("n > 0"), "shingles-nodes")
+        rows = materialize(signatures(texts), "shingles-rows")
+    sigs = materialize(rows.where("n > 0").dropDuplicates(["node"]), "shingles-nodes")
+    drop_tables(rows)
     tokens = sigs.select("node", F.explode("first").alias("token"))
     tokens = tokens.withColumn("c", F.count("*").over(Window.partitionBy("token"))).where("c > 1").select("node", "token")
     tokens = materialize(tokens, "shingles-tokens")
     members = tokens.join(sigs.select("node", "fp", "n", "bits"), "node")
-    tried = _verified(materialize(_pairs(members.withColumn("label", F.col("fp")), True), "shingles-forest"), texts, sigs)
+    forest = materialize(_pairs(members.withColumn("label", F.col("fp")), True), "shingles-forest")
+    tried = _verified(forest, texts, sigs)
+    drop_tables(forest)
     edges = lambda df: df.where("near").select(F.col("fa").alias("a"), F.col("fb").alias("b"))
-    found = edges(tried)
+    found = materialize(edges(tried), "shingles-links")
     if tried.where("not near").isEmpty():
+        drop_tables(sigs, tokens, tried)
         return found
     comps = components(found).withColumnsRenamed({"node": "fp", "component": "c"})
     members = members.join(comps, "fp", "left").withColumn("label", F.coalesce("c", "fp"))
-    rest = _pairs(members, False).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    return found.unionByName(edges(_verified(materialize(rest, "shingles-rest"), texts, sigs)))
+    rest = materialize(_pairs(members, False).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "shingles-rest")
+    more = _verified(rest, texts, sigs)
+    out = materialize(found.unionByName(edges(more)), "shingles-links")
+    drop_read(comps)
+    drop_tables(sigs, tokens, tried, found, rest, more)
+    return out

@@ -1,7 +1,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from tallyworks.llm import mixing, packing, quality
+from tallyworks.llm import common, mixing, packing, quality
 
 from .test_linedup import plain as plain_lines
 from .test_packing import held
@@ -58,3 +58,14 @@ def test_repeated_rows_are_mixed_as_one_document(spark):
     for r in corpus_pipeline.mix_sources(spark, docs, "").collect():
         words[r.doc_id] += len(r.text.split())
     assert words == Counter({i: n for i, n in taken.items() if n}) and sum(words.values()) <= 320 * 5 + 3 * 5 + 400
+
+
+def test_near_duplicates_leave_little_on_disk(spark, tmp_path, monkeypatch):
+    """What the stage's tables leave is less than a fifth of the texts."""
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs.write.option("compression", "zstd").parquet(f"{tmp_path}/docs")
+    size = lambda name: sum(p.stat().st_size for p in (tmp_path / name).rglob("*.parquet"))
+    single = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert size("shared") < 0.2 * size("docs")
+    assert 0 < single.count() < docs.count()
