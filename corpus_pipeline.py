@@ -51,10 +51,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. A document is an id with a text: what the mix takes of its repeated rows is added
     up, and its copies are those of one of them (the least by language, source and length, nulls first)."""
-    th = F.xxhash64("text")
-    mixed = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.sum("copies").alias("_copies"))
-    one = docs.select(*COLUMNS, th.alias("th")).groupBy("doc_id", "th").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("_d")).select("doc_id", "th", "_d.*")
-    out = one.join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    one = docs.select("doc_id", F.xxhash64("text").alias("th"), F.struct("lang", "source", "n_chars", "text").alias("_d"))
+    mixed = mixing.mix(docs).where("copies > 0").select("doc_id", "th", F.col("copies").alias("_copies"))
+    # one grouping of both, so that the texts are shuffled once and null ids meet
+    both = one.unionByName(mixed, allowMissingColumns=True).groupBy("doc_id", "th").agg(F.min("_d").alias("_d"), F.sum("_copies").alias("_copies"))
+    out = both.where("_copies > 0").select("doc_id", "_d.*", "_copies")
     return out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*COLUMNS)
 
 

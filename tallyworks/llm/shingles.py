@@ -31,6 +31,8 @@ LONG, WIDE = 1024, 16_384
 SAMPLE, COMMON = 4_096, 65_536
 #: rows of texts in one Arrow batch
 ROWS = 256
+#: hashes of texts (8 MB) up to which these go to the texts, and beyond which the texts are shuffled to them
+HELD = 1 << 20
 
 
 def shingles(text: bytes | None, n: int = WORDS) -> set[bytes]:
@@ -185,14 +187,15 @@ def _compared(pairs: DataFrame, texts: DataFrame, sigs: DataFrame) -> DataFrame:
             says = pa.array([near(x, y) for x, y in zip(*sets, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], says], names=["a", "b", "fa", "fb", "near"])
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    some = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).join(sigs.select("node", "fp"), "node")
+    wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "shingles-wanted")
+    held = F.broadcast(wanted) if wanted.count() <= HELD else wanted
+    some = texts.join(held, "node", "left_semi").dropDuplicates(["node"]).join(sigs.select("node", "fp"), "node")
     some = materialize(some.select("node", "fp", F.col("text").cast("binary").alias("t")), "shingles-texts")
     side = lambda k: some.select(F.col("node").alias(k), F.col("fp").alias(f"f{k}"), F.col("t").alias(f"t{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "fb", "ta", "tb")
     with batches_of(pairs.sparkSession, ROWS):
         out = materialize(both.mapInArrow(run, "a long, b long, fa long, fb long, near boolean"), "shingles-pairs")
-    drop_tables(some)
+    drop_tables(some, wanted)
     return out
 
 

@@ -1,7 +1,10 @@
+import os
+import time
 from collections import Counter
 
 import corpus_pipeline
-from tallyworks.llm import common, mixing, packing, quality
+import pytest
+from tallyworks.llm import common, mixing, packing, quality, shingles
 
 from .test_linedup import plain as plain_lines
 from .test_packing import held
@@ -69,3 +72,59 @@ def test_near_duplicates_leave_little_on_disk(spark, tmp_path, monkeypatch):
     single = corpus_pipeline.drop_near_duplicates(spark, docs, "")
     assert size("shared") < 0.2 * size("docs")
     assert 0 < single.count() < docs.count()
+
+
+def shuffled(spark):
+    """Bytes that all tasks so far have written for shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(30_000)
+    time.sleep(0.5)
+    spark.range(1).foreach(lambda _: None)  # the store takes up what came since its last update
+    sc.listenerBus().waitUntilEmpty(30_000)
+    executors = sc.statusStore().executorList(False)
+    return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+
+@pytest.fixture
+def as_if_large(spark):
+    """Spark broadcasts nothing by itself."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def random_texts(spark, tmp_path, n=600):
+    """(documents, bytes of their texts): texts that hardly compress, and near copies of two of them."""
+    rows = [(i, " ".join(os.urandom(60).hex() for _ in range(60)), "en", "ab"[i % 2], 0) for i in range(n)]
+    rows += [(n + i, rows[i][1] + " and more", "en", "a", 0) for i in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/random")
+    # hexadecimal digits hold half a byte each
+    return spark.read.parquet(f"{tmp_path}/random"), sum(len(r[1]) for r in rows) / 2
+
+
+def test_mixing_shuffles_texts_once(spark, tmp_path, as_if_large):
+    docs, size = random_texts(spark, tmp_path)
+    before = shuffled(spark)
+    assert corpus_pipeline.mix_sources(spark, docs, "").agg({"text": "max"}).first()[0]
+    once = shuffled(spark)
+    docs.groupBy("doc_id").agg({"text": "max"}).agg({"max(text)": "max"}).first()
+    of_one = shuffled(spark) - once
+    assert of_one >= size and once - before < 1.5 * of_one
+
+
+def test_mixing_takes_rows_without_an_id_and_the_least_of_repeated_ones(spark):
+    rows = [(None, "one two three", "en", "a", 1), (None, "four five six", None, "a", 2), (None, None, "en", "a", 0), (1, "a b c", "en", "a", 9), (1, "a b c", "de", "a", 9)]
+    got = corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "").collect()
+    # of a single source the mix takes every row once
+    assert Counter(map(tuple, got)) == Counter({rows[0]: 1, rows[1]: 1, rows[4]: 2})
+
+
+def test_near_links_send_candidates_only(spark, tmp_path, monkeypatch, as_if_large):
+    """Texts that are no candidates stay where they are; beyond HELD the links are the same."""
+    docs, size = random_texts(spark, tmp_path)
+    before = shuffled(spark)
+    got = sorted(map(tuple, shingles.near_links(docs).collect()))
+    assert shuffled(spark) - before < 0.5 * size
+    monkeypatch.setattr(shingles, "HELD", 0)
+    assert sorted(map(tuple, shingles.near_links(docs).collect())) == got and len(got) == 2
